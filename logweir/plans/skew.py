@@ -1,0 +1,71 @@
+"""Keeping one huge group out of one task.
+
+A window or an array aggregate gathers a whole group in one task. That is fine
+while groups are small and not when one key holds a third of the table. The
+helpers here count groups first (a narrow scan, combined map-side); only when a
+group really exceeds the bound is it set apart and cut into ordered runs by a
+range partitioning over the key *and* the unique order columns, which splits
+any key evenly.
+"""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows one task may gather for one group.
+MAX_GROUP_ROWS = 2_000_000
+
+# Rows a table may have to be broadcast by hint.
+MAX_BROADCAST_ROWS = 200_000
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors see; a private one only where none is set."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="logweir-"))
+    return configured or context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint: the rows and their partitions are fixed."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def within_bound(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if its counted ``rows`` are few enough."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
+def hot_groups(
+    df: DataFrame, key: str, limit: int = MAX_GROUP_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Split into rows of ordinary groups and rows of groups above ``limit``.
+
+    The second part is ``None`` when no group is that large, and the first is
+    then ``df`` itself. There are at most ``rows / limit`` hot keys.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_"))
+    largest = sizes.agg(F.max("rows_")).first()[0]
+    if largest is None or largest <= limit:
+        return df, None
+    hot = cut(sizes.filter(F.col("rows_") > limit).select(F.col(key).alias("hot_")))
+    hot = within_bound(hot, hot.count())
+    same = F.col(key).eqNullSafe(F.col("hot_"))
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
+
+def place_in_runs(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Sort by key and order over all tasks; ``run_`` names the sorted piece.
+
+    ``order`` must be unique within the key. The result is checkpointed, since
+    range bounds come from sampling and must not move between two uses.
+    """
+    columns: list[Column] = [F.col(key), *map(F.col, order)]
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    return cut(ranged.withColumn("run_", F.spark_partition_id()))
