@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from logweir.functions.time import naive_utc
 
 
-def is_blank(line: Column) -> Column:
-    return line.rlike(r"^\s*$")
+def strip(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\n\r\x0b\x0c"))
 
 
-def strip(line: Column) -> Column:
-    return F.regexp_replace(line, r"^\s+|\s+$", "")
+def is_blank(line: Column) -> Column:
+    return strip(line) == ""
 
 
 def split_response(pages: DataFrame) -> DataFrame:
@@ -31,8 +31,9 @@ def add_ingested_at(line: Column, moment: datetime | str | None = None) -> Colum
     ``_ingested_at`` is overruled: JSON readers keep the last of equal keys.
     """
     stamp = f'"_ingested_at":"{naive_utc(moment).isoformat()}Z"}}'
-    body = F.regexp_replace(line, r"\s*\}\s*$", "")
-    comma = F.when(body.rlike(r"^\s*\{$"), "").otherwise(",")
+    whole = strip(line)
+    body = strip(F.substring(whole, F.lit(1), F.length(whole) - 1))
+    comma = F.when(body == "{", "").otherwise(",")
     return F.concat(body, comma, F.lit(stamp))
 
 
@@ -43,7 +44,7 @@ def payload_text(payload: Column, line: Column) -> Column:
     string "0" from the number. Payloads are objects in practice; only the
     others are looked up again in the line.
     """
-    nested = payload.rlike(r"^[{\[]")
+    nested = payload.startswith("{") | payload.startswith("[")
     looked_up = F.to_json(F.variant_get(F.try_parse_json(line), "$.payload", "variant"))
     scalar = F.coalesce(looked_up, payload)
     empty_scalar = scalar.isin('""', "false") | F.coalesce(

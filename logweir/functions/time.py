@@ -34,6 +34,18 @@ def ntz(moment: datetime | str) -> Column:
     return F.lit(naive_utc(moment).isoformat()).cast("timestamp_ntz")
 
 
+def naive(instant: Column) -> Column:
+    """An instant as naive UTC, whatever the session zone."""
+    micros = F.unix_micros(instant).cast("decimal(38,0)")
+    seconds = (micros / 1000000).cast("decimal(18,6)")
+    return ntz("1970-01-01") + F.make_dt_interval(secs=seconds)
+
+
+def instant(naive_time: Column) -> Column:
+    """The instant a naive UTC time stands for, whatever the session zone."""
+    return F.concat(naive_time.cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def window_start(days: int, as_of: datetime | str | None = None) -> datetime:
     return naive_utc(as_of) - timedelta(days=positive("days", days))
 

@@ -17,9 +17,11 @@ PLACE = ["source_file", "block_start", "line"]
 
 
 def _timestamp(text: Column) -> Column:
-    """Naive timestamp of ISO text; NULL for anything else."""
-    dated = text.rlike(r"^\s*\d{4,6}-\d{1,2}-\d{1,2}([T ].*)?$")
-    return F.when(dated, text).try_cast("timestamp_ntz")
+    """Naive timestamp of ISO text; NULL for anything else.
+
+    A date needs its day: a bare year or month would pass the cast.
+    """
+    return F.when(F.length(text) >= 8, text).try_cast("timestamp_ntz")
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -30,14 +32,16 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     fit its column.
     """
     # Read between brackets and before a second element, so that a line with
-    # anything after its object does not pass.
+    # anything after its object does not pass. Exploding the list keeps later
+    # filters from repeating the read.
     listed = F.concat(F.lit("["), F.col("value"), F.lit(",{}]"))
     schema = f"array<{RAW_EVENT.simpleString()}>"
     read = F.from_json(listed, schema, {"allowSingleQuotes": "false"})
+    object_alone = F.when(F.size("read") == 2, F.slice("read", 1, 1))
     return (
         lines.withColumn("value", strip(F.col("value")))
         .withColumn("read", read)
-        .withColumn("one", F.when(F.size("read") == 2, F.get("read", F.lit(0))))
+        .select(*PLACE, "value", F.explode_outer(object_alone).alias("one"))
         .select(
             *PLACE,
             F.col("one.id").alias("event_id"),
@@ -50,35 +54,36 @@ def parse_lines(lines: DataFrame) -> DataFrame:
             F.col("one.repo.name").alias("repo_name"),
             payload_text(F.col("one.payload"), F.col("value")).alias("payload"),
             F.col("value").alias("raw"),
-            _status().alias("status"),
+            "one",
         )
+        .withColumn("status", _status())
+        .drop("one")
     )
 
 
 def _status() -> Column:
     def present_but_no_object(name: str) -> Column:
-        keys = F.json_object_keys("value")
+        keys = F.json_object_keys("raw")
         return F.col(f"one.{name}").isNull() & F.coalesce(
             F.array_contains(keys, name), F.lit(False)
         )
 
-    def unfit(name: str) -> Column:
-        text = F.col(f"one.{name}")
-        return text.isNotNull() & text.try_cast("int").isNull()
+    def unfit(text: str, number: str) -> Column:
+        return F.col(text).isNotNull() & F.col(number).isNull()
 
     fatal = (
-        ~F.is_valid_utf8("value")
+        ~F.is_valid_utf8("raw")
         | F.col("one").isNull()
         | present_but_no_object("actor")
         | present_but_no_object("repo")
     )
     violating = (
-        F.col("one.id").isNull()
-        | F.col("one.type").isNull()
-        | _timestamp(F.col("one.created_at")).isNull()
-        | _timestamp(F.col("one._ingested_at")).isNull()
-        | unfit("actor.id")
-        | unfit("repo.id")
+        F.col("event_id").isNull()
+        | F.col("event_type").isNull()
+        | F.col("created_at").isNull()
+        | F.col("ingested_at").isNull()
+        | unfit("one.actor.id", "actor_id")
+        | unfit("one.repo.id", "repo_id")
     )
     return F.when(fatal, "fatal").when(violating, "violating").otherwise("ok")
 
@@ -92,25 +97,37 @@ def failed_files(parsed: DataFrame, stored: DataFrame) -> DataFrame:
     clause is why the answer is found in rounds; failures only ever grow, and
     nearly always the first round settles it.
     """
-    violating = F.col("status") == "violating"
-    lost = parsed.filter(
-        (F.col("status") == "fatal") | (violating & F.col("event_id").isNull())
-    ).select("source_file")
     # One row per file and id, however often the id is repeated in the file.
-    doubtful = (
-        parsed.filter(violating & F.col("event_id").isNotNull())
+    problems = cut(
+        parsed.filter(F.col("status") != "ok")
         .groupBy("event_id", "source_file")
-        .agg(F.min(F.struct(*PLACE)).alias("place"))
+        .agg(
+            F.max((F.col("status") == "fatal") | F.col("event_id").isNull()).alias("lost"),
+            F.min(F.struct(*PLACE)).alias("place"),
+        )
     )
-    doubtful = cut(doubtful.join(stored.select("event_id"), "event_id", "left_anti"))
-    failed = cut(lost.distinct())
-    if doubtful.isEmpty():
+    failed = problems.filter("lost").select("source_file").distinct()
+    doubtful = cut(
+        problems.filter("NOT lost").join(stored.select("event_id"), "event_id", "left_anti")
+    )
+    doubts = doubtful.count()
+    if doubts == 0:
         return failed
+    reached = parsed.filter(F.col("status") == "ok").select("event_id", *PLACE)
+    if doubts <= MAX_BROADCAST_ROWS:
+        ids = F.broadcast(doubtful.select("event_id"))
+        reached = reached.join(ids, "event_id", "left_semi")
+    reached = cut(
+        reached.groupBy("event_id", "source_file").agg(
+            F.min(F.struct(*PLACE)).alias("place")
+        )
+    )
     failures = failed.count()
     while True:
-        reached = without_files(parsed.filter(F.col("status") == "ok"), failed, failures)
-        earliest = reached.groupBy("event_id").agg(
-            F.min(F.struct(*PLACE)).alias("earliest")
+        earliest = (
+            without_files(reached, failed, failures)
+            .groupBy("event_id")
+            .agg(F.min("place").alias("earliest"))
         )
         unmet = doubtful.join(earliest, "event_id", "left").filter(
             F.col("earliest").isNull() | (F.col("earliest") > F.col("place"))

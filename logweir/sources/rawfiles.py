@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.functions.jsonlines import is_blank
-from logweir.functions.time import ntz
+from logweir.functions.time import naive
 
 RAW_PATTERN = "*.jsonl"
 # Folders written by land_events, and the files in them.
@@ -28,19 +28,11 @@ def read_or_none(read, *args) -> DataFrame | None:
         raise
 
 
-def _utc(instant: Column) -> Column:
-    """An instant as naive UTC, whatever the session zone."""
-    seconds = (F.unix_micros(instant).cast("decimal(38,0)") / 1000000).cast(
-        "decimal(18,6)"
-    )
-    return ntz("1970-01-01") + F.make_dt_interval(secs=seconds)
-
-
 def _described() -> list[Column]:
     return [
         F.col("_metadata.file_name").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
-        _utc(F.col("_metadata.file_modification_time")).alias("file_mtime"),
+        naive(F.col("_metadata.file_modification_time")).alias("file_mtime"),
     ]
 
 
