@@ -1,0 +1,76 @@
+import random
+from datetime import timedelta
+
+import pytest
+from conftest import N
+
+from logweir import create_views, repo_events_nested, repo_events_nested_parts
+from logweir.operators.nested import first_and_last, flatten_parts, list_lengths
+
+
+def test_one_row_per_repository(events):
+    rows = events(("e1", "a", "org/a", N), ("e2", "b", "org/b", N), ("e3", "b", None, N))
+    names = {r.repo_name for r in repo_events_nested(rows).collect()}
+    assert names == {"org/a", "org/b", None}
+
+
+def test_length_and_order(events):
+    second = N + timedelta(seconds=1)
+    rows = events(
+        ("evtB", "a", "r", second), ("evtA", "a", "r", N), ("evt10", "a", "r", second)
+    )
+    (row,) = repo_events_nested(rows).collect()
+    # Equal times go by the id as text.
+    assert [e.event_id for e in row.events] == ["evtA", "evt10", "evtB"]
+
+
+def test_versions(events):
+    rows = events(("e1", "a", "r", N))
+    v1 = repo_events_nested(rows, 1).first().events[0].asDict()
+    assert list(v1) == ["event_id", "actor_login", "event_type", "created_at"]
+    v2 = repo_events_nested(rows, 2).first().events[0].asDict()
+    assert list(v2) == [*v1, "repo_id"]
+    assert v2["repo_id"] == 100
+    assert repo_events_nested(rows).schema == repo_events_nested(rows, 2).schema
+    with pytest.raises(ValueError):
+        repo_events_nested(rows, 3)
+
+
+def test_views(spark, events):
+    create_views(events(("e1", "a", "r", N), ("e2", "a", "r", N)))
+    for name in ["repo_events_nested", "repo_events_nested_v1", "repo_events_nested_v2"]:
+        assert spark.sql(f"SELECT size(events) FROM {name}").first()[0] == 2
+    assert spark.sql("SELECT part FROM repo_events_nested_parts").first()[0] == 0
+    assert spark.table("events").count() == 2
+
+
+@pytest.mark.parametrize("bound", [1000, 7, 1])
+def test_large_repositories_continue_in_parts(events, bound):
+    random.seed(3)
+    rows = [
+        (f"e{i}", "a", random.choice(["hot", "hot", "hot", "cold", None]),
+         N + timedelta(seconds=random.randrange(20)))
+        for i in range(120)
+    ]
+    expected = {}
+    for event_id, _, repo, at in sorted(rows, key=lambda r: (r[3], r[0])):
+        expected.setdefault(repo, []).append(event_id)
+    parts = repo_events_nested_parts(events(*rows), max_events_per_row=bound).cache()
+    got = {}
+    for r in sorted(parts.collect(), key=lambda r: r.part):
+        assert len(r.events) <= bound
+        got.setdefault(r.repo_name, []).extend(e.event_id for e in r.events)
+    assert got == expected
+    lengths = {r.repo_name: r.events_in_list for r in list_lengths(parts).collect()}
+    assert lengths == {k: len(v) for k, v in expected.items()}
+    ends = {r.repo_name: (r.first_event_id, r.last_event_id) for r in first_and_last(parts).collect()}
+    assert ends == {k: (v[0], v[-1]) for k, v in expected.items()}
+    flat = {(r.repo_name, r.position): r.event_id for r in flatten_parts(parts, bound).collect()}
+    assert flat == {(k, i + 1): e for k, v in expected.items() for i, e in enumerate(v)}
+
+
+def test_one_row_form_refuses_what_does_not_fit(events):
+    rows = events(*((f"e{i}", "a", "r", N) for i in range(5)))
+    with pytest.raises(ValueError, match="parts"):
+        repo_events_nested(rows, max_events_per_row=4)
+    assert repo_events_nested(rows, max_events_per_row=5).count() == 1
