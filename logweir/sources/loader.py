@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
+from itertools import groupby
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -73,17 +74,19 @@ def load_events(
     touched = (F.col("known_size") != F.col("file_size")) | (
         F.col("known_mtime") != F.col("file_mtime")
     )
-    suspects = seen.filter(known & (F.lit(True) if verify_known else touched))
-    for chunk in _chunks(_names(suspects), max_batch_files, max_batch_bytes):
-        _warn_modified(spark, chunk, lake_dir)
+    suspect = known & (F.lit(True) if verify_known else touched)
 
     loaded = inserted = 0
-    # In name order, so that the first file with an event wins across commits.
-    for chunk in _chunks(_names(seen.filter(~known)), max_batch_files, max_batch_bytes):
-        lines = read_lines(spark, [file.path for file in chunk])
-        files, events = load_batch(lines, chunk, lake_dir, moment)
-        loaded += files
-        inserted += events
+    listed = _by_name(seen.filter(suspect | ~known).withColumn("is_known", known))
+    for is_known, files in groupby(listed, lambda file: file.is_known):
+        for chunk in _chunks(files, max_batch_files, max_batch_bytes):
+            if is_known:
+                _warn_modified(spark, chunk, lake_dir)
+                continue
+            lines = read_lines(spark, [file.path for file in chunk])
+            added_files, added_events = load_batch(lines, chunk, lake_dir, moment)
+            loaded += added_files
+            inserted += added_events
 
     if views:
         create_views(read_events(spark, lake_dir))
@@ -135,13 +138,14 @@ def _compare_listing(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return listing.join(known, "file_path", "left")
 
 
-def _names(files: DataFrame) -> Iterator[Row]:
-    """Path and size of each file, by name; fetched a partition at a time.
+def _by_name(files: DataFrame) -> Iterator[Row]:
+    """Known files, then new ones, each by name, fetched a partition at a time.
 
-    File names, never file contents, pass through the driver, which lists the
-    folder anyway.
+    In name order the first file with an event wins across commits. File names,
+    never contents, pass through the driver, which lists the folder anyway.
     """
-    ordered = files.select("path", "file_path", "file_size").orderBy("file_path")
+    columns = ["path", "file_path", "file_size", "is_known"]
+    ordered = files.select(*columns).orderBy(F.desc("is_known"), "file_path")
     return ordered.toLocalIterator()
 
 

@@ -40,7 +40,8 @@ def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """``path, file_path, file_size, file_mtime`` of each raw file.
 
     ``file_path`` is the base name. Subfolders are not searched, except those
-    written by ``land_events``. No content is read.
+    written by ``land_events``. No content is read. Spark's file sources leave
+    out files of zero length, so those are not seen.
     """
     listings = []
     for folder, pattern in [
@@ -87,7 +88,7 @@ def _large_fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
         .groupBy("file_path", "file_size", "file_mtime")
         .agg(
             F.count(F.lit(1)).alias("lines"),
-            F.sum(line_hash.cast("decimal(18,0)")).alias("total"),
+            F.sum(line_hash.cast("decimal(19,0)")).alias("total"),
         )
         .select(
             "file_path",
