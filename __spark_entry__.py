@@ -23,10 +23,12 @@ from logweir.sources.landing import land_events  # noqa: E402
 from logweir.sources.loader import load_events  # noqa: E402
 from logweir.sources.rawfiles import LANDED_PATTERN  # noqa: E402
 from logweir.sources.sample_tables import (  # noqa: E402
+    SCHEMA,
     adapt,
     canonical_events,
     iso,
     raw_feed,
+    sample_table,
 )
 from logweir.streaming import stream_load, stream_sessions  # noqa: E402
 
@@ -184,7 +186,7 @@ def _land_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _file_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file per user and day, with a fingerprint of the events in it."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = sample_table(spark, sf_dir)
     return events.groupBy(
         _user_day_file().alias("file_path"), F.col("ts").cast("date").alias("day")
     ).agg(
@@ -217,7 +219,7 @@ def _load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a new version of its user's file; the last one counts."""
-    versions = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    versions = sample_table(spark, sf_dir).select(
         F.concat(F.lit("user_"), "user_id", F.lit(".jsonl")).alias("file_path"),
         F.col("ts").alias("loaded_at"),
         F.sha2("props", 256).alias("file_sha256"),
@@ -245,11 +247,13 @@ def _stored_columns(events: DataFrame) -> DataFrame:
 
 
 def _load_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land all events twice in small files, load twice, read the table."""
+    """Land all events twice, load twice, read the table."""
     folder = _fresh_folder(spark)
     feed = raw_feed(spark, sf_dir, source_file=_daily_file(), stamped=False)
-    for _ in range(2):
-        land_events(feed.select("value"), f"{folder}/raw", ingest_ts=STAMP)
+    for size in (150, 5000):
+        land_events(
+            feed.select("value"), f"{folder}/raw", max_records=size, ingest_ts=STAMP
+        )
     for _ in range(2):
         load_events(spark, f"{folder}/raw", f"{folder}/lake", views=False)
     return _stored_columns(read_events(spark, f"{folder}/lake"))
@@ -273,9 +277,8 @@ def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All sessions by the streaming operator; complete mode shows open ones."""
     folder = _fresh_folder(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     table = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(SCHEMA)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )

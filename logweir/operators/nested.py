@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweir.plans.skew import hot_groups, place_in_runs
+from logweir.plans.skew import has_larger_group, split_hot
 
 ELEMENT_FIELDS = {
     1: ["event_id", "actor_login", "event_type", "created_at"],
@@ -52,14 +52,14 @@ def repo_events_nested_parts(
     continues in parts 1, 2, ...; read in order they are its whole list.
     """
     fields = _fields(version)
-    plain, hot = hot_groups(
-        events.select("repo_name", *fields), "repo_name", max_events_per_row
+    plain, runs = split_hot(
+        events.select("repo_name", *fields), "repo_name", ORDER, max_events_per_row
     )
     whole = _as_parts(_one_row_each(plain, fields))
-    if hot is None:
+    if runs is None:
         return whole
     pieces = (
-        _positions(hot)
+        _positions(runs)
         .withColumn("part", F.floor(F.col("position_") / max_events_per_row))
         .groupBy("repo_name", "part")
         .agg(_ordered_list(fields))
@@ -71,9 +71,8 @@ def _as_parts(nested: DataFrame) -> DataFrame:
     return nested.select("repo_name", F.lit(0).cast("long").alias("part"), "events")
 
 
-def _positions(events: DataFrame) -> DataFrame:
+def _positions(runs: DataFrame) -> DataFrame:
     """Rows with their 0-based place in the repository's list."""
-    runs = place_in_runs(events, "repo_name", ORDER)
     sizes = runs.groupBy("repo_name", "run_").agg(F.count(F.lit(1)).alias("rows_"))
     # One row per run of a hot repository: no more rows than there are tasks.
     earlier = (
@@ -90,7 +89,8 @@ def _positions(events: DataFrame) -> DataFrame:
     local = runs.withColumn("row_", F.row_number().over(in_run))
     here = (F.col("run_") == F.col("at_")) & F.col("repo_name").eqNullSafe(F.col("of_"))
     return local.join(before, here).select(
-        *events.columns, (F.col("before_") + F.col("row_") - 1).alias("position_")
+        *(name for name in runs.columns if name != "run_"),
+        (F.col("before_") + F.col("row_") - 1).alias("position_"),
     )
 
 
@@ -107,8 +107,7 @@ def repo_events_nested(
     elements in several rows.
     """
     fields = _fields(version)
-    _, hot = hot_groups(events.select("repo_name"), "repo_name", max_events_per_row)
-    if hot is not None:
+    if has_larger_group(events, "repo_name", max_events_per_row):
         raise ValueError(
             f"a repository has more than {max_events_per_row} events; "
             "use repo_events_nested_parts, or raise max_events_per_row"
@@ -162,15 +161,15 @@ def create_views(events: DataFrame) -> None:
     row, only the ``_parts`` forms are registered.
     """
     events.createOrReplaceTempView("events")
-    _, hot = hot_groups(events.select("repo_name"), "repo_name", MAX_EVENTS_PER_ROW)
+    in_parts = has_larger_group(events, "repo_name", MAX_EVENTS_PER_ROW)
     names = {f"repo_events_nested_v{v}": v for v in ELEMENT_FIELDS}
     names["repo_events_nested"] = LATEST
     for name, version in names.items():
-        if hot is None:
+        if in_parts:
+            events.sparkSession.catalog.dropTempView(name)
+            parts = repo_events_nested_parts(events, version)
+        else:
             nested = _one_row_each(events, _fields(version))
             nested.createOrReplaceTempView(name)
             parts = _as_parts(nested)
-        else:
-            events.sparkSession.catalog.dropTempView(name)
-            parts = repo_events_nested_parts(events, version)
         parts.createOrReplaceTempView(f"{name}_parts")

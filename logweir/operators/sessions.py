@@ -16,7 +16,7 @@ from logweir.functions.time import (
     since,
     window_start,
 )
-from logweir.plans.skew import MAX_GROUP_ROWS, hot_groups, place_in_runs
+from logweir.plans.skew import MAX_GROUP_ROWS, split_hot
 
 GAP = "30 minutes"
 # How far before the window the scan reaches back.
@@ -54,7 +54,7 @@ def sessionize(
     any, are numbered in runs spread over many tasks.
     """
     known = events.filter(F.col("actor_login").isNotNull())
-    plain, hot = hot_groups(known, "actor_login", max_group_rows)
+    plain, runs = split_hot(known, "actor_login", ORDER, max_group_rows)
     by_actor = W.partitionBy("actor_login").orderBy(*ORDER)
     flagged = plain.select(
         "*",
@@ -66,18 +66,17 @@ def sessionize(
     numbered = flagged.withColumn(
         "session_id", F.sum("is_new_session").over(by_actor.rowsBetween(*_SO_FAR))
     )
-    if hot is None:
+    if runs is None:
         return numbered
-    return numbered.unionByName(_sessionize_runs(hot, gap))
+    return numbered.unionByName(_sessionize_runs(runs, gap))
 
 
-def _sessionize_runs(events: DataFrame, gap: str) -> DataFrame:
+def _sessionize_runs(runs: DataFrame, gap: str) -> DataFrame:
     """The same columns, computed per sorted run and then shifted.
 
     A run needs three facts from the runs before it: how many events they
     hold, how many sessions they open, and when the last one ends.
     """
-    runs = place_in_runs(events, "actor_login", ORDER)
     in_run = W.partitionBy("actor_login", "run_").orderBy(*ORDER)
     local = runs.select(
         "*",
@@ -118,7 +117,7 @@ def _sessionize_runs(events: DataFrame, gap: str) -> DataFrame:
     )
     first = F.col("row_") == 1
     return local.join(before, ["actor_login", "run_"]).select(
-        *events.columns,
+        *(name for name in runs.columns if name != "run_"),
         (F.col("rows_before_") + F.col("row_")).alias("event_sequence"),
         F.when(first, F.col("edge_")).otherwise(F.col("lag_")).alias("prev_created_at"),
         F.when(first, F.col("opens_")).otherwise(F.col("inner_")).alias(

@@ -1,3 +1,3 @@
-from logweir.plans.skew import hot_groups, place_in_runs, within_bound
+from logweir.plans.skew import has_larger_group, split_hot, within_bound
 
-__all__ = ["hot_groups", "place_in_runs", "within_bound"]
+__all__ = ["has_larger_group", "split_hot", "within_bound"]

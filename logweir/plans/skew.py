@@ -2,17 +2,17 @@
 
 A window or an array aggregate gathers a whole group in one task. That is fine
 while groups are small and not when one key holds a third of the table. The
-helpers here count groups first (a narrow scan, combined map-side); only when a
-group really exceeds the bound is it set apart and cut into ordered runs by a
-range partitioning over the key *and* the unique order columns, which splits
-any key evenly.
+helpers here count groups first (a narrow scan, combined map-side). Only a group
+that really exceeds the bound is set apart and cut into ordered runs, by a range
+partitioning over the key *and* the unique order columns, which splits any key
+evenly.
 """
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows one task may gather for one group.
@@ -42,30 +42,50 @@ def within_bound(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
 
-def hot_groups(
-    df: DataFrame, key: str, limit: int = MAX_GROUP_ROWS
+def has_larger_group(df: DataFrame, key: str, limit: int) -> bool:
+    """Whether some value of ``key`` has more than ``limit`` rows."""
+    # Mostly answered from file footers, and settles small tables.
+    if df.count() <= limit:
+        return False
+    largest = _sizes(df, key).agg(F.max("rows_")).first()[0]
+    return largest > limit
+
+
+def _sizes(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_"))
+
+
+def split_hot(
+    df: DataFrame, key: str, order: list[str], limit: int = MAX_GROUP_ROWS
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Split into rows of ordinary groups and rows of groups above ``limit``.
+    """Rows of ordinary groups, and those of larger groups sorted into runs.
 
-    The second part is ``None`` when no group is that large, and the first is
-    then ``df`` itself. There are at most ``rows / limit`` hot keys.
+    There are no runs (``None``) when no group exceeds ``limit``; the first part
+    is then ``df`` itself. At most ``rows / limit`` keys can be hot.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_"))
-    largest = sizes.agg(F.max("rows_")).first()[0]
-    if largest is None or largest <= limit:
+    if not has_larger_group(df, key, limit):
         return df, None
-    hot = cut(sizes.filter(F.col("rows_") > limit).select(F.col(key).alias("hot_")))
-    hot = within_bound(hot, hot.count())
+    hot = cut(
+        _sizes(df, key)
+        .filter(F.col("rows_") > limit)
+        .select(F.col(key).alias("hot_"), "rows_")
+    )
+    keys, rows = hot.agg(F.count(F.lit(1)), F.sum("rows_")).first()
+    hot = within_bound(hot, keys)
     same = F.col(key).eqNullSafe(F.col("hot_"))
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+    runs = _place_in_runs(df.join(hot, same, "left_semi"), key, order, rows // limit)
+    return df.join(hot, same, "left_anti"), runs
 
 
-def place_in_runs(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def _place_in_runs(
+    df: DataFrame, key: str, order: list[str], pieces: int
+) -> DataFrame:
     """Sort by key and order over all tasks; ``run_`` names the sorted piece.
 
     ``order`` must be unique within the key. The result is checkpointed, since
     range bounds come from sampling and must not move between two uses.
     """
-    columns: list[Column] = [F.col(key), *map(F.col, order)]
-    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    pieces = max(pieces, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    columns = [F.col(key), *map(F.col, order)]
+    ranged = df.repartitionByRange(pieces, *columns).sortWithinPartitions(*columns)
     return cut(ranged.withColumn("run_", F.spark_partition_id()))

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Listing a batch of raw files takes this many tasks, not one per file.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # Streaming gap sessions merge inside a map task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

@@ -10,28 +10,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+SCHEMA = (
+    "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string"
+)
 
 
-def _repo_number() -> Column:
-    return F.get_json_object("props", "$.k")
+def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapt(_table(spark, sf_dir))
+    return adapt(sample_table(spark, sf_dir))
 
 
 def adapt(table: DataFrame) -> DataFrame:
-    return table.select(
-        F.col("event_id").cast("string").alias("event_id"),
+    return table.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
         "event_type",
-        F.col("ts").alias("created_at"),
-        F.col("user_id").cast("int").alias("actor_id"),
-        F.concat(F.lit("user_"), "user_id").alias("actor_login"),
-        _repo_number().cast("int").alias("repo_id"),
-        F.concat(F.lit("org/repo"), _repo_number()).alias("repo_name"),
-        F.col("props").alias("payload"),
+        "ts AS created_at",
+        "CAST(user_id AS INT) AS actor_id",
+        "concat('user_', user_id) AS actor_login",
+        "CAST(get_json_object(props, '$.k') AS INT) AS repo_id",
+        "concat('org/repo', get_json_object(props, '$.k')) AS repo_name",
+        "props AS payload",
     )
 
 
@@ -55,6 +57,7 @@ def raw_feed(
         iso(F.col("ts") + F.expr("INTERVAL 5 MINUTES")),
         F.lit('"'),
     )
+    repo_number = F.get_json_object("props", "$.k")
     line = F.concat(
         F.lit('{"id":"'),
         "event_id",
@@ -69,16 +72,16 @@ def raw_feed(
         F.lit(',"login":"user_'),
         "user_id",
         F.lit('"},"repo":{"id":'),
-        _repo_number(),
+        repo_number,
         F.lit(',"name":"org/repo'),
-        _repo_number(),
+        repo_number,
         F.lit('"},"payload":'),
         F.col("props") if payload is None else payload,
         F.lit(',"public":true'),
         ingested if stamped else F.lit(""),
         F.lit("}"),
     )
-    return _table(spark, sf_dir).select(
+    return sample_table(spark, sf_dir).select(
         line.alias("value"),
         source_file.alias("source_file"),
         F.lit(0).cast("long").alias("block_start"),

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.jsonlines import is_blank
 from logweir.functions.time import naive_utc
+from logweir.plans.skew import within_bound
 from logweir.sources.lake import read_manifest
 from logweir.sources.loader import load_batch
 from logweir.sources.rawfiles import RAW_PATTERN, file_and_block, line_number
@@ -59,7 +60,8 @@ def stream_load(
             [(row.file_path,) for row in new], "source_file string"
         )
         placed = batch.select("*", line_number())
-        wanted = placed.join(F.broadcast(names), "source_file", "left_semi")
+        names = within_bound(names, len(new))
+        wanted = placed.join(names, "source_file", "left_semi")
         load_batch(
             wanted.filter(~is_blank(F.col("value"))), new, lake_dir, naive_utc()
         )

@@ -236,6 +236,13 @@ def test_views_after_a_load(folder):
     row = folder.spark.sql("SELECT events[0].repo_id FROM repo_events_nested").first()
     assert row[0] == 1
     assert repo_events_nested(folder.spark.table("events")).count() == 1
+    counted = folder.spark.sql(
+        "SELECT count(*) FROM events WHERE repo_name = ? AND created_at >= ?",
+        args=["org/a", datetime(2026, 1, 1)],
+    )
+    assert counted.first()[0] == 1
+    files = folder.spark.sql("SELECT file_path FROM loaded_files")
+    assert files.first().file_path == "a.jsonl"
 
 
 def test_large_file_fingerprint(spark, tmp_path, monkeypatch):

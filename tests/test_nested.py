@@ -44,7 +44,7 @@ def test_views(spark, events):
     assert spark.table("events").count() == 2
 
 
-@pytest.mark.parametrize("bound", [1000, 7, 1])
+@pytest.mark.parametrize("bound", [1000, 50, 7])
 def test_large_repositories_continue_in_parts(events, bound):
     random.seed(3)
     rows = [
