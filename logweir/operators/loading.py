@@ -62,11 +62,15 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def _status() -> Column:
-    def present_but_no_object(name: str) -> Column:
-        keys = F.json_object_keys("raw")
-        return F.col(f"one.{name}").isNull() & F.coalesce(
-            F.array_contains(keys, name), F.lit(False)
-        )
+    # The keys are listed only where something is missing; as a branch of a CASE
+    # they are not computed ahead for every line.
+    no_actor, no_repo = F.col("one.actor").isNull(), F.col("one.repo").isNull()
+    keys = F.json_object_keys("raw")
+    no_object = F.when(
+        no_actor | no_repo,
+        (no_actor & F.array_contains(keys, "actor"))
+        | (no_repo & F.array_contains(keys, "repo")),
+    )
 
     def unfit(text: str, number: str) -> Column:
         return F.col(text).isNotNull() & F.col(number).isNull()
@@ -74,8 +78,7 @@ def _status() -> Column:
     fatal = (
         ~F.is_valid_utf8("raw")
         | F.col("one").isNull()
-        | present_but_no_object("actor")
-        | present_but_no_object("repo")
+        | F.coalesce(no_object, F.lit(False))
     )
     violating = (
         F.col("event_id").isNull()
