@@ -296,8 +296,20 @@ def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the optional subpackage; nothing where it is absent."""
+    try:
+        from corpus_pipeline import ORACLE_SQL, run
+        from logweir.llm.queries import ORACLES, QUERIES
+    except ImportError:
+        return {}, {}
+    sql = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
+    return QUERIES | {"pipeline": run}, ORACLES | sql
+
+
 def queries() -> dict[str, Query]:
     return {
+        **_llm()[0],
         "event_count": _on_events(explore.event_count),
         "events_per_type": _on_events(explore.events_per_type),
         "repo_counts": _on_events(explore.repo_counts),
@@ -482,6 +494,7 @@ _CLASSIFIED = f"""WITH files AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        **_llm()[1],
         "event_count": f"{_WITH_EVENTS} SELECT count(*) AS event_count FROM e",
         "events_per_type": f"""{_WITH_EVENTS}
             SELECT event_type, count(*) AS "count" FROM e GROUP BY event_type""",
