@@ -10,7 +10,9 @@ binary search, and accepts a hit only if the stored string is equal.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -53,12 +55,21 @@ def url_path(url: Column) -> Column:
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+FILES = ("keys", "ends", "text", "verdicts", "path_lengths")
+
+
 class DigestArray:
     """Sorted 64-bit keys with the strings and verdicts they stand for."""
 
-    def __init__(self, folder: str, digest: Callable[[str], int] | None = None):
+    def __init__(
+        self,
+        place: Callable[[str], str],
+        digest: Callable[[str], int] | None = None,
+    ):
+        """``place`` gives the path of each of ``FILES``."""
+
         def load(name: str) -> np.ndarray:
-            return np.load(os.path.join(folder, f"{name}.npy"), mmap_mode="r")
+            return np.load(place(name), mmap_mode="r")
 
         self.keys, self.ends, self.text = load("keys"), load("ends"), load("text")
         self.verdicts, self.path_lengths = load("verdicts"), load("path_lengths")
@@ -77,7 +88,6 @@ class DigestArray:
             first.setdefault((host, path), verdict)
         items = sorted((digest(_entry(h, p)), _entry(h, p), v) for (h, p), v in first.items())
         blobs = [text.encode() for _, text, _ in items]
-        os.makedirs(folder, exist_ok=True)
         lengths = sorted({len(path) for _, path in first})
         for name, values in {
             "keys": np.array([key for key, _, _ in items], "uint64"),
@@ -143,15 +153,19 @@ def _entry(host: str, path: str) -> str:
 
 
 def _ship(spark, rules) -> str:
-    """Send the array to all executors; its name among the session's files.
+    """Send the array to all executors; the mark in the names of its files.
 
-    Spark copies the folder into each executor's own folder, where it is mapped.
+    Spark copies the files into each executor's own folder, where they are mapped.
     """
-    name = f"digests-{uuid.uuid4().hex}"
-    folder = os.path.join(tempfile.mkdtemp(), name)
+    mark = uuid.uuid4().hex
+    folder = tempfile.mkdtemp(prefix="logweir-")  # tasks fetch from it until the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     DigestArray.write(folder, rules)
-    spark.sparkContext.addFile(folder, recursive=True)
-    return name
+    for name in FILES:
+        path = os.path.join(folder, f"{name}-{mark}.npy")
+        os.rename(os.path.join(folder, f"{name}.npy"), path)
+        spark.sparkContext.addFile(path)
+    return mark
 
 
 def judge_urls(
@@ -174,11 +188,11 @@ def judge_urls(
     if len(rules) > MAX_ENTRIES:
         raise ValueError(f"more than {MAX_ENTRIES} rules")
     urls = urls.drop("rule", "verdict")
-    name = _ship(urls.sparkSession, rules)
+    mark = _ship(urls.sparkSession, rules)
     names = [*urls.columns, "rule", "verdict"]
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digests = DigestArray(SparkFiles.get(name))
+        digests = DigestArray(lambda name: SparkFiles.get(f"{name}-{mark}.npy"))
         for whole in batches:
             for start in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(start, SLICE)
