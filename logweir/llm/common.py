@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +64,49 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
             rest.append(batch)
     if rest:
         yield pa.Table.from_batches(rest)
+
+
+# --- models fitted on a bounded sample of labelled rows --------------------------
+
+
+def held_out(doc_id: Column) -> Column:
+    """Rows that no label may be learned from; a null id is in no fold."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int
+) -> tuple[DataFrame, dict[int, int]]:
+    """Texts of at most ``per_class`` documents of each label, and all labels' counts.
+
+    Columns doc_id, text, label (0 or 1). Held-out rows are left out. Of a document
+    with several labels the larger counts; null labels and ids are ignored. The
+    documents with the smallest hashes of their ids are drawn, from the whole table.
+    """
+    known = (
+        labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+        .filter(~held_out(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg(F.max((F.col(label) > 0).cast("int")).alias("label"))
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
+    )
+    known = stored(known)
+    counts = {row.label: row["count"] for row in known.groupBy("label").count().collect()}
+    order = F.xxhash64("doc_id")
+    drawn = known.filter("label = 0").orderBy(order).limit(per_class)
+    drawn = drawn.union(known.filter("label = 1").orderBy(order).limit(per_class))
+    # At most 2 * per_class ids.
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return sample, counts
+
+
+def fit_in_task(sample: DataFrame, fit: Callable[[pd.DataFrame], object]) -> object:
+    """``fit`` on a bounded sample, in one task; returns the (small) model."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(frames), ignore_index=True)
+        frame = frame.sort_values(["doc_id", "text"], kind="stable").reset_index(drop=True)
+        yield pd.DataFrame({"model": [pickle.dumps(fit(frame))]})
+
+    one = sample.repartition(1).mapInPandas(run, "model binary").collect()
+    return pickle.loads(one[0].model) if one else None

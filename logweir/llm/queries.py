@@ -1,12 +1,29 @@
 """The registered queries of this subpackage, and their SQL where SQL can say it."""
 
-from logweir.llm import mixing, sharding, token_counts, url_lists
+from logweir.llm import (
+    line_rules,
+    mixing,
+    quality,
+    severity,
+    sharding,
+    token_counts,
+    url_lists,
+    warc,
+)
 
 QUERIES = {
     "op1_pivotal_mix": mixing.op1_pivotal_mix,
+    "op2_line_frequency": line_rules.op2_line_frequency,
     "op3_two_tier_counts": token_counts.op3_two_tier_counts,
+    "op4_ordinal_severity": severity.op4_ordinal_severity,
+    "op7_warc_round_trip": warc.op7_warc_round_trip,
     "op8_digest_array": url_lists.op8_digest_array,
     "op9_feistel_shards": sharding.op9_feistel_shards,
+    "op10_subword_quality": quality.op10_subword_quality,
 }
 
-ORACLES = {"op8_digest_array": url_lists.OP8_SQL}
+ORACLES = {
+    "op2_line_frequency": line_rules.OP2_SQL,
+    "op7_warc_round_trip": warc.OP7_SQL,
+    "op8_digest_array": url_lists.OP8_SQL,
+}
