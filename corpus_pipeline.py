@@ -10,10 +10,26 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logweir.llm import mixing, sharding
+from logweir.llm import decontamination, jaccard_join, mixing, quality, sharding
 from logweir.llm.common import run_folder, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier predicts to be good."""
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).filter("predicted = 1").select(docs.columns)
+
+
+def deduplication_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return jaccard_join.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten-word window of a benchmark item."""
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed by weight; a document comes as often as the mix takes it."""
     return mixing.mix(docs)
@@ -25,6 +41,9 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", deduplication_stage),
+    ("decontamination", decontamination_stage),
     ("mixing", mixing_stage),
     ("sharding", sharding_stage),
 ]
