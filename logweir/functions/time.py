@@ -54,13 +54,13 @@ def interval(text: str) -> Column:
     return F.expr(f"INTERVAL {text}")
 
 
-def since(events: DataFrame, start: datetime, *, strict: bool) -> DataFrame:
-    """Rows created after ``start``, with no upper bound.
+def since(events: DataFrame, start: datetime | Column, *, strict: bool) -> DataFrame:
+    """Rows created after ``start`` (a moment or a constant), with no upper bound.
 
     On the stored table the day column is filtered too, so that older
     partitions are pruned before any file is opened.
     """
-    bound = ntz(start)
+    bound = start if isinstance(start, Column) else ntz(start)
     created = F.col("created_at")
     if "created_date" in events.columns:
         events = events.filter(F.col("created_date") >= bound.cast("date"))

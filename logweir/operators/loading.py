@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.functions.jsonlines import payload_text, strip
-from logweir.plans.skew import MAX_BROADCAST_ROWS, cut, within_bound
+from logweir.plans.shared import MAX_BROADCAST_ROWS, cut, within_bound
 from logweir.schemas import RAW_EVENT
 
 # Files are taken in name order; a file cut into blocks keeps its line order.
@@ -191,11 +191,3 @@ def latest_by(rows: DataFrame, key: str, order: str) -> DataFrame:
     rest = [name for name in rows.columns if name not in (key, order)]
     latest = F.max(F.struct(order, *rest)).alias("latest")
     return rows.groupBy(key).agg(latest).select(key, "latest.*")
-
-
-def load_report(classified: DataFrame) -> DataFrame:
-    return classified.agg(
-        F.count(F.lit(1)).alias("scanned_files"),
-        F.count_if(F.col("status") == "new").alias("new_files"),
-        F.count_if(F.col("status") != "new").alias("skipped_files"),
-    )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from logweir.plans.skew import has_larger_group, split_hot
+from logweir.functions.time import positive
 
 ELEMENT_FIELDS = {
     1: ["event_id", "actor_login", "event_type", "created_at"],
@@ -14,7 +14,7 @@ ELEMENT_FIELDS = {
 }
 LATEST = max(ELEMENT_FIELDS)
 
-# Elements one output row may hold; a row must fit in one task's memory.
+# Elements of one output row; the next ones go to a further part.
 MAX_EVENTS_PER_ROW = 1_000_000
 
 ORDER = ["created_at", "event_id"]
@@ -36,95 +36,63 @@ def _ordered_list(fields: list[str]):
     ).alias("events")
 
 
-def _one_row_each(events: DataFrame, fields: list[str]) -> DataFrame:
-    return events.groupBy("repo_name").agg(_ordered_list(fields))
-
-
-def repo_events_nested_parts(
+def repo_events_nested(
     events: DataFrame,
     version: int | None = None,
     *,
     max_events_per_row: int = MAX_EVENTS_PER_ROW,
 ) -> DataFrame:
-    """``repo_name, part, events``: every repository whole, however large.
+    """``repo_name, part, first_position, events``, NULL name included.
 
-    A repository within the bound is one row with part 0. A larger one
-    continues in parts 1, 2, ...; read in order they are its whole list.
+    Parts 0, 1, ... of a repository, read in order, are its whole list; each has
+    ``max_events_per_row`` events, the last one what is left. ``first_position``
+    is the place of a part's first event, from 1. One lazy plan for every size:
+    events are ranked within a repository's day, and days are offset by the days
+    before, so that no window has to sort a large repository alone.
     """
     fields = _fields(version)
-    plain, runs = split_hot(
-        events.select("repo_name", *fields), "repo_name", ORDER, max_events_per_row
+    positive("max_events_per_row", max_events_per_row)
+    dated = events.select("repo_name", *fields).withColumn(
+        "day_", F.col("created_at").cast("date")
     )
-    whole = _as_parts(_one_row_each(plain, fields))
-    if runs is None:
-        return whole
-    pieces = (
-        _positions(runs)
-        .withColumn("part", F.floor(F.col("position_") / max_events_per_row))
-        .groupBy("repo_name", "part")
-        .agg(_ordered_list(fields))
+    same = F.col("repo_name").eqNullSafe(F.col("of_")) & F.col("day_").eqNullSafe(F.col("at_"))
+    in_day = W.partitionBy("repo_name", "day_").orderBy(*ORDER)
+    placed = (
+        dated.withColumn("row_", F.row_number().over(in_day))
+        .join(_before_each_day(dated), same)
+        .withColumn("place_", F.col("before_") + F.col("row_") - 1)
+        .withColumn("part", F.floor(F.col("place_") / max_events_per_row))
+    )
+    return (
+        placed.groupBy("repo_name", "part")
+        .agg((F.min("place_") + 1).alias("first_position"), _ordered_list(fields))
+        .select("repo_name", "part", "first_position", "events")
     )
-    return whole.unionByName(pieces)
-
-
-def _as_parts(nested: DataFrame) -> DataFrame:
-    return nested.select("repo_name", F.lit(0).cast("long").alias("part"), "events")
 
 
-def _positions(runs: DataFrame) -> DataFrame:
-    """Rows with their 0-based place in the repository's list."""
-    sizes = runs.groupBy("repo_name", "run_").agg(F.count(F.lit(1)).alias("rows_"))
-    # One row per run of a hot repository: no more rows than there are tasks.
+def _before_each_day(dated: DataFrame) -> DataFrame:
+    """How many events a repository has before each of its days."""
+    sizes = dated.groupBy("repo_name", "day_").agg(F.count(F.lit(1)).alias("rows_"))
     earlier = (
-        W.partitionBy("repo_name")
-        .orderBy("run_")
-        .rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy("repo_name").orderBy("day_").rowsBetween(W.unboundedPreceding, -1)
     )
-    before = sizes.select(
+    return sizes.select(
         F.col("repo_name").alias("of_"),
-        F.col("run_").alias("at_"),
+        F.col("day_").alias("at_"),
         F.coalesce(F.sum("rows_").over(earlier), F.lit(0)).alias("before_"),
     )
-    in_run = W.partitionBy("repo_name", "run_").orderBy(*ORDER)
-    local = runs.withColumn("row_", F.row_number().over(in_run))
-    here = (F.col("run_") == F.col("at_")) & F.col("repo_name").eqNullSafe(F.col("of_"))
-    return local.join(before, here).select(
-        *(name for name in runs.columns if name != "run_"),
-        (F.col("before_") + F.col("row_") - 1).alias("position_"),
-    )
 
 
-def repo_events_nested(
-    events: DataFrame,
-    version: int | None = None,
-    *,
-    max_events_per_row: int = MAX_EVENTS_PER_ROW,
-) -> DataFrame:
-    """``repo_name, events``: one row per repository, NULL name included.
-
-    A list longer than ``max_events_per_row`` does not belong in one row; the
-    call is refused then, and ``repo_events_nested_parts`` gives the same
-    elements in several rows.
-    """
-    fields = _fields(version)
-    if has_larger_group(events, "repo_name", max_events_per_row):
-        raise ValueError(
-            f"a repository has more than {max_events_per_row} events; "
-            "use repo_events_nested_parts, or raise max_events_per_row"
-        )
-    return _one_row_each(events, fields)
+# The former name of the form in parts, which is now the only one.
+repo_events_nested_parts = repo_events_nested
 
 
-def flatten_parts(
-    parts: DataFrame, max_events_per_row: int = MAX_EVENTS_PER_ROW
-) -> DataFrame:
+def flatten_parts(parts: DataFrame) -> DataFrame:
     """One row per list element, ``position`` counting from 1."""
     return parts.select(
-        "repo_name", "part", F.posexplode("events").alias("at_", "event")
+        "repo_name", "first_position", F.posexplode("events").alias("at_", "event")
     ).select(
-        "repo_name",
-        (F.col("part") * max_events_per_row + F.col("at_") + 1).alias("position"),
-        "event.*",
+        "repo_name", (F.col("first_position") + F.col("at_")).alias("position"), "event.*"
     )
 
 
@@ -157,19 +125,13 @@ def first_and_last(parts: DataFrame) -> DataFrame:
 def create_views(events: DataFrame) -> None:
     """Temp views ``events``, both nested versions, and the newest one's alias.
 
-    Each nested view also has a ``_parts`` form. When a repository outgrows one
-    row, only the ``_parts`` forms are registered.
+    A view is a definition: nothing runs here. The names ending in ``_parts`` are
+    the same views.
     """
     events.createOrReplaceTempView("events")
-    in_parts = has_larger_group(events, "repo_name", MAX_EVENTS_PER_ROW)
     names = {f"repo_events_nested_v{v}": v for v in ELEMENT_FIELDS}
     names["repo_events_nested"] = LATEST
     for name, version in names.items():
-        if in_parts:
-            events.sparkSession.catalog.dropTempView(name)
-            parts = repo_events_nested_parts(events, version)
-        else:
-            nested = _one_row_each(events, _fields(version))
-            nested.createOrReplaceTempView(name)
-            parts = _as_parts(nested)
-        parts.createOrReplaceTempView(f"{name}_parts")
+        nested = repo_events_nested(events, version)
+        nested.createOrReplaceTempView(name)
+        nested.createOrReplaceTempView(f"{name}_parts")

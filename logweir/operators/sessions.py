@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,11 +16,8 @@ from logweir.functions.time import (
     since,
     window_start,
 )
-from logweir.plans.skew import MAX_GROUP_ROWS, split_hot
 
 GAP = "30 minutes"
-# How far before the window the scan reaches back.
-LOOK_BACK = timedelta(minutes=30)
 
 ORDER = ["created_at", "event_id"]
 
@@ -29,13 +26,17 @@ _EARLIER = (W.unboundedPreceding, -1)
 
 
 def session_scan(
-    events: DataFrame, *, days: int = 7, as_of: datetime | str | None = None
+    events: DataFrame,
+    *,
+    days: int = 7,
+    as_of: datetime | str | None = None,
+    gap: str = GAP,
 ) -> DataFrame:
-    """Events of known actors from half an hour before the window onwards.
+    """Events of known actors from one gap before the window onwards.
 
     Sessions reaching back further are clipped here, and numbering starts here.
     """
-    start = window_start(days, as_of) - LOOK_BACK
+    start = ntz(window_start(days, as_of)) - interval(gap)
     return since(events, start, strict=False).filter(F.col("actor_login").isNotNull())
 
 
@@ -44,39 +45,18 @@ def _starts(at: Column, before: Column, gap: str) -> Column:
     return F.when(before.isNull() | (at - before > interval(gap)), 1).otherwise(0)
 
 
-def sessionize(
-    events: DataFrame, gap: str = GAP, *, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def sessionize(events: DataFrame, gap: str = GAP) -> DataFrame:
     """Events with ``event_sequence, prev_created_at, is_new_session, session_id``.
 
-    Rows without an actor are dropped. All four columns share one shuffle and
-    one sort. Actors with more than ``max_group_rows`` events, if there are
-    any, are numbered in runs spread over many tasks.
-    """
-    known = events.filter(F.col("actor_login").isNotNull())
-    plain, runs = split_hot(known, "actor_login", ORDER, max_group_rows)
-    by_actor = W.partitionBy("actor_login").orderBy(*ORDER)
-    flagged = plain.select(
-        "*",
-        F.row_number().over(by_actor).cast("long").alias("event_sequence"),
-        F.lag("created_at").over(by_actor).alias("prev_created_at"),
-    ).withColumn(
-        "is_new_session", _starts(F.col("created_at"), F.col("prev_created_at"), gap)
-    )
-    numbered = flagged.withColumn(
-        "session_id", F.sum("is_new_session").over(by_actor.rowsBetween(*_SO_FAR))
-    )
-    if runs is None:
-        return numbered
-    return numbered.unionByName(_sessionize_runs(runs, gap))
+    Rows without an actor are dropped. One lazy plan for every size: windows run
+    over an actor's days, and each day gets three facts from the days before it,
+    so that no window has to sort a busy actor alone. Day numbers are few.
 
-
-def _sessionize_runs(runs: DataFrame, gap: str) -> DataFrame:
-    """The same columns, computed per sorted run and then shifted.
-
-    A run needs three facts from the runs before it: how many events they
-    hold, how many sessions they open, and when the last one ends.
+    These are how many events they hold, how many sessions they open, and when
+    the last one ends.
     """
+    known = events.filter(F.col("actor_login").isNotNull())
+    runs = known.withColumn("run_", F.col("created_at").cast("date"))
     in_run = W.partitionBy("actor_login", "run_").orderBy(*ORDER)
     local = runs.select(
         "*",
@@ -94,7 +74,7 @@ def _sessionize_runs(runs: DataFrame, gap: str) -> DataFrame:
         F.min("created_at").alias("first_"),
         F.max("created_at").alias("last_"),
     )
-    # One row per run of a hot actor: no more rows than there are tasks.
+    # One row per day of an actor.
     by_run = W.partitionBy("actor_login").orderBy("run_")
     before = (
         edges.withColumn("edge_", F.lag("last_").over(by_run))
@@ -116,8 +96,12 @@ def _sessionize_runs(runs: DataFrame, gap: str) -> DataFrame:
         )
     )
     first = F.col("row_") == 1
-    return local.join(before, ["actor_login", "run_"]).select(
-        *(name for name in runs.columns if name != "run_"),
+    # Events without a time have no day; they come first, as in any ascending sort.
+    same = F.col("actor_login") == F.col("actor_")
+    same &= F.col("run_").eqNullSafe(F.col("at_"))
+    before = before.withColumnsRenamed({"actor_login": "actor_", "run_": "at_"})
+    return local.join(before, same).select(
+        *events.columns,
         (F.col("rows_before_") + F.col("row_")).alias("event_sequence"),
         F.when(first, F.col("edge_")).otherwise(F.col("lag_")).alias("prev_created_at"),
         F.when(first, F.col("opens_")).otherwise(F.col("inner_")).alias(
@@ -178,7 +162,7 @@ def user_sessions(
     ``limit=None`` returns every session, unsorted.
     """
     as_of = naive_utc(as_of)
-    totals = session_totals(session_scan(events, days=days, as_of=as_of), gap)
+    totals = session_totals(session_scan(events, days=days, as_of=as_of, gap=gap), gap)
     recent = totals.filter(F.col("session_end_at") >= ntz(window_start(days, as_of)))
     if limit is None:
         return recent

@@ -1,3 +1,3 @@
-from logweir.plans.skew import has_larger_group, split_hot, within_bound
+from logweir.plans.shared import clear_runs, run_folder, shared_dir, stored, within_bound
 
-__all__ = ["has_larger_group", "split_hot", "within_bound"]
+__all__ = ["clear_runs", "run_folder", "shared_dir", "stored", "within_bound"]

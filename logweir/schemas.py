@@ -68,3 +68,11 @@ LOADED_FILES = T.StructType(
         T.StructField("batch_id", T.StringType(), False),
     ]
 )
+
+REJECTED_FILES = T.StructType(
+    [
+        T.StructField("file_path", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("rejected_at", T.TimestampNTZType()),
+    ]
+)

@@ -1,4 +1,4 @@
-"""The two stored tables, ``events`` and ``loaded_files``, as Parquet folders.
+"""The stored tables, ``events``, ``loaded_files`` and ``rejected_files``, in Parquet.
 
 A load writes its events under a batch id of its own and makes them visible by
 one manifest file that names the batch. Whatever a broken load left behind is
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.operators.loading import latest_by
-from logweir.schemas import EVENTS, EVENTS_LAYOUT, LOADED_FILES
+from logweir.schemas import EVENTS, EVENTS_LAYOUT, LOADED_FILES, REJECTED_FILES
 from logweir.sources.rawfiles import read_or_none
 
 
@@ -30,13 +30,23 @@ def read_manifest(spark: SparkSession, lake_dir: str) -> DataFrame:
 def read_events(spark: SparkSession, lake_dir: str) -> DataFrame:
     """Committed events, with the partition columns behind the table's own.
 
-    The committed batches (one id per load) become a partition filter, so no
-    join touches the events.
+    A semi join on the committed batch ids, which Spark turns into partition
+    pruning at run time; nothing is collected.
     """
     manifest = _table(spark, f"{lake_dir}/loaded_files", LOADED_FILES)
-    batches = [row.batch_id for row in manifest.select("batch_id").distinct().collect()]
     events = _table(spark, f"{lake_dir}/events", EVENTS_LAYOUT)
-    return events.filter(F.col("batch_id").isin(batches))
+    committed = manifest.select("batch_id").distinct()
+    columns = EVENTS_LAYOUT.fieldNames()
+    return events.join(committed, "batch_id", "left_semi").select(*columns)
+
+
+def read_rejected(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """Every refusal of a file: ``file_path, reason, rejected_at``."""
+    return _table(spark, f"{lake_dir}/rejected_files", REJECTED_FILES)
+
+
+def record_rejected(files: DataFrame, lake_dir: str) -> None:
+    files.write.mode("append").parquet(f"{lake_dir}/rejected_files")
 
 
 def write_events(events: DataFrame, lake_dir: str, batch_id: str) -> int:

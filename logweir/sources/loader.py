@@ -23,16 +23,22 @@ from logweir.operators.loading import (
     without_files,
 )
 from logweir.operators.nested import create_views
+from logweir.plans.shared import cut
 from logweir.sources.lake import (
     commit_files,
     read_events,
     read_manifest,
+    read_rejected,
+    record_rejected,
     write_events,
 )
 from logweir.sources.rawfiles import fingerprints, list_files, read_lines
 
 logger = logging.getLogger(__name__)
 
+INVALID = "not loaded, has invalid lines"
+MODIFIED = "skipped, modified since it was loaded"
+
 # What one commit takes in. Later files wait for the next commit of the call.
 MAX_BATCH_FILES = 100_000
 MAX_BATCH_BYTES = 10 << 40
@@ -82,7 +88,7 @@ def load_events(
     for is_known, files in groupby(listed, lambda file: file.is_known):
         for chunk in _chunks(files, max_batch_files, max_batch_bytes):
             if is_known:
-                _warn_modified(spark, chunk, lake_dir)
+                _report_modified(spark, chunk, lake_dir, moment)
                 continue
             lines = read_lines(spark, [file.path for file in chunk])
             added_files, added_events = load_batch(lines, chunk, lake_dir, moment)
@@ -103,7 +109,10 @@ def load_batch(
     spark = lines.sparkSession
     batch_id = f"{moment:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:12]}"
     loaded_at = ntz(moment).alias("loaded_at")
-    described = fingerprints(spark, files)
+    # Narrow rows, hashed once. A file that was not read must not be committed.
+    described = cut(fingerprints(spark, files))
+    if described.count() != len(files):
+        raise RuntimeError("some files could not be read back under their names")
     # Parsed once; a lost executor's share is parsed again from the files.
     parsed = parse_lines(lines).persist()
     try:
@@ -127,7 +136,7 @@ def load_batch(
                 "file_path",
                 "left_anti",
             )
-            _log_names("not loaded, has invalid lines", failed, "source_file", failures)
+            _reject(failed.select(F.col("source_file").alias("file_path")), INVALID, lake_dir, moment)
         fresh = drop_existing(dedup_first(good), stored, lines_ok)
         inserted = write_events(fresh.select("*", loaded_at), lake_dir, batch_id)
     finally:
@@ -153,7 +162,7 @@ def _by_name(files: DataFrame) -> Iterator[Row]:
     In name order the first file with an event wins across commits. File names,
     never contents, pass through the driver, which lists the folder anyway.
     """
-    columns = ["path", "file_path", "file_size", "is_known"]
+    columns = ["path", "file_path", "file_size", "file_mtime", "is_known"]
     ordered = files.select(*columns).orderBy(F.desc("is_known"), "file_path")
     return ordered.toLocalIterator()
 
@@ -173,16 +182,41 @@ def _chunks(
         yield chunk
 
 
-def _warn_modified(spark: SparkSession, files: list[Row], lake_dir: str) -> None:
+def _report_modified(
+    spark: SparkSession, files: list[Row], lake_dir: str, moment: datetime
+) -> None:
     current = fingerprints(spark, files)
     compared = classify_files(current, read_manifest(spark, lake_dir))
-    modified = compared.filter(F.col("status") == "modified").select("file_path")
-    _log_names("skipped, modified since it was loaded", modified, "file_path")
+    modified = cut(compared.filter(F.col("status") == "modified").select("file_path"))
+    _reject(modified, MODIFIED, lake_dir, moment)
+
+
+def _reject(names: DataFrame, reason: str, lake_dir: str, moment: datetime) -> None:
+    """Record the files in ``rejected_files`` and log every one."""
+    if names.isEmpty():
+        return
+    record_rejected(
+        names.select("file_path", F.lit(reason).alias("reason"), ntz(moment).alias("rejected_at")),
+        lake_dir,
+    )
+    for row in names.orderBy("file_path").toLocalIterator():
+        logger.warning("%s: %s", reason, row.file_path)
+
 
+def retry_rejected(spark: SparkSession, raw_dir: str, lake_dir: str) -> int:
+    """Load files that were refused for their lines and still lie in the folder.
 
-def _log_names(what: str, names: DataFrame, column: str, total: int | None = None):
-    """Log how many, and the first few by name."""
-    total = names.count() if total is None else total
-    if total:
-        shown = [row[0] for row in names.orderBy(column).select(column).take(20)]
-        logger.warning("%d file(s) %s: %s", total, what, ", ".join(shown))
+    For the stream, which never offers a file twice; returns files loaded.
+    """
+    refused = read_rejected(spark, lake_dir).filter(F.col("reason") == INVALID)
+    known = read_manifest(spark, lake_dir)
+    open_ = refused.select("file_path").distinct().join(known, "file_path", "left_anti")
+    if open_.isEmpty():
+        return 0
+    files = list_files(spark, raw_dir).join(open_, "file_path", "left_semi")
+    listed = files.orderBy("file_path").toLocalIterator()
+    loaded = 0
+    for chunk in _chunks(listed, MAX_BATCH_FILES, MAX_BATCH_BYTES):
+        lines = read_lines(spark, [file.path for file in chunk])
+        loaded += load_batch(lines, chunk, lake_dir, naive_utc())[0]
+    return loaded

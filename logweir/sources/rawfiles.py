@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +20,23 @@ RAW_PATTERN = "*.jsonl"
 LANDED_FOLDERS = "landed_*"
 LANDED_PATTERN = "part-*.txt"
 
-# A file is hashed in one piece up to this size.
+# A file up to this size is hashed from memory, a larger one in pieces.
 MAX_HASH_BYTES = 1 << 30
+PIECE = 8 << 20
+
+LISTING = "path string, file_path string, file_size long, file_mtime timestamp_ntz"
+EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
+
+
+def escaped(path: str) -> str:
+    """A listed path as Spark's readers take it: they expand glob patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def file_name() -> Column:
+    """The base name as it is on disk; Spark's metadata has it URL-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
 
 
 def read_or_none(read, *args) -> DataFrame | None:
@@ -30,7 +51,7 @@ def read_or_none(read, *args) -> DataFrame | None:
 
 def _described() -> list[Column]:
     return [
-        F.col("_metadata.file_name").alias("file_path"),
+        file_name().alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
         naive(F.col("_metadata.file_modification_time")).alias("file_mtime"),
     ]
@@ -40,8 +61,8 @@ def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """``path, file_path, file_size, file_mtime`` of each raw file.
 
     ``file_path`` is the base name. Subfolders are not searched, except those
-    written by ``land_events``. No content is read. Spark's file sources leave
-    out files of zero length, so those are not seen.
+    written by ``land_events``. No content is read. Spark's sources give no row
+    for a file of zero length; those are added from the listing.
     """
     listings = []
     for folder, pattern in [
@@ -51,57 +72,100 @@ def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
         reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         found = read_or_none(reader.load, folder)
         if found is not None:
-            listings.append(found.select("path", *_described()))
+            filled = found.select("path", *_described())
+            listings += [filled, *_empty_files(spark, found, filled)]
     if not listings:
-        return spark.createDataFrame(
-            [],
-            "path string, file_path string, file_size long, file_mtime timestamp_ntz",
+        return spark.createDataFrame([], LISTING)
+    return reduce(DataFrame.union, listings)
+
+
+def _empty_files(
+    spark: SparkSession, found: DataFrame, filled: DataFrame
+) -> list[DataFrame]:
+    """Listed files that give no row. Spark has the listing on the driver anyway."""
+    names = [(url,) for url in found.inputFiles()]
+    if not names:
+        return []
+    listed = spark.createDataFrame(names, "url string")
+    plain = F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B")))
+    # The two write the root of a local path in different ways.
+    plain = F.regexp_replace(plain, "^file:/+", "file:/")
+    silent = listed.withColumn("path", plain).join(filled, "path", "left_anti").collect()
+    if not silent:
+        return []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    rows = []
+    for row in silent:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.url))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        rows.append((row.path, path.getName(), status.getLen(), status.getModificationTime()))
+    schema = "path string, file_path string, file_size long, millis long"
+    return [
+        spark.createDataFrame(rows, schema).select(
+            "path",
+            "file_path",
+            "file_size",
+            naive(F.timestamp_millis("millis")).alias("file_mtime"),
         )
-    return listings[0] if len(listings) == 1 else listings[0].union(listings[1])
+    ]
 
 
 def fingerprints(spark: SparkSession, files: list[Row]) -> DataFrame:
     """``file_path, file_size, file_mtime, file_sha256`` of the given files.
 
-    SHA-256 of the content. A file too large to be held by one task is read in
-    splits instead; its fingerprint is the hash of its line count and the sum
-    of its line hashes.
+    Always the SHA-256 of the bytes. ``files`` have path, file_path and file_size;
+    files of zero length also need their file_mtime.
     """
-    small = [file.path for file in files if file.file_size <= MAX_HASH_BYTES]
-    large = [file.path for file in files if file.file_size > MAX_HASH_BYTES]
+    empty = [f for f in files if f.file_size == 0]
+    small = [f.path for f in files if 0 < f.file_size <= MAX_HASH_BYTES]
+    large = [f.path for f in files if f.file_size > MAX_HASH_BYTES]
     hashed = []
     if small:
-        content = spark.read.format("binaryFile").load(small)
+        content = spark.read.format("binaryFile").load(list(map(escaped, small)))
         hashed.append(
             content.select(*_described(), F.sha2("content", 256).alias("file_sha256"))
         )
     if large:
-        hashed.append(_large_fingerprints(spark, large))
-    return hashed[0] if len(hashed) == 1 else hashed[0].union(hashed[1])
-
-
-def _large_fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
-    line_hash = F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10)
-    return (
-        spark.read.text(paths)
-        .select("value", *_described())
-        .groupBy("file_path", "file_size", "file_mtime")
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.sum(line_hash.cast("decimal(19,0)")).alias("total"),
-        )
-        .select(
-            "file_path",
-            "file_size",
-            "file_mtime",
-            F.sha2(F.concat_ws(":", "lines", "total"), 256).alias("file_sha256"),
-        )
+        hashed.append(_hashed_in_pieces(spark, large))
+    if empty:
+        rows = [(f.file_path, 0, f.file_mtime, EMPTY_SHA256) for f in empty]
+        schema = "file_path string, file_size long, file_mtime timestamp_ntz, file_sha256 string"
+        hashed.append(spark.createDataFrame(rows, schema))
+    return reduce(DataFrame.union, hashed)
+
+
+def _hashed_in_pieces(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One task per file reads it piece by piece, in constant memory."""
+    listed = spark.read.format("binaryFile").load(list(map(escaped, paths)))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for frame in frames:
+            hashes = []
+            for path in frame["path"]:
+                store, name = (
+                    fs.FileSystem.from_uri(path)
+                    if re.match(r"(?!file:)[a-z0-9]+://", path)
+                    else (fs.LocalFileSystem(), re.sub("^file:/*", "/", path))
+                )
+                total = hashlib.sha256()
+                with store.open_input_stream(name) as stream:
+                    while piece := stream.read(PIECE):
+                        total.update(piece)
+                hashes.append(total.hexdigest())
+            yield frame.assign(file_sha256=hashes)
+
+    columns = ["file_path", "file_size", "file_mtime"]
+    described = listed.select("path", *_described()).repartition(len(paths), "path")
+    return described.mapInPandas(run, f"{LISTING}, file_sha256 string").select(
+        *columns, "file_sha256"
     )
 
 
 def file_and_block() -> list[Column]:
     return [
-        F.col("_metadata.file_name").alias("source_file"),
+        file_name().alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
     ]
 
@@ -113,5 +177,5 @@ def line_number() -> Column:
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines that are not blank, with ``source_file, block_start, line``."""
-    lines = spark.read.text(paths).select("value", *file_and_block(), line_number())
+    lines = spark.read.text(list(map(escaped, paths))).select("value", *file_and_block(), line_number())
     return lines.filter(~is_blank(F.col("value")))

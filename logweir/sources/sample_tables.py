@@ -16,10 +16,6 @@ SCHEMA = (
 )
 
 
-# Props hold one number and nothing else; trimming is cheaper than reading JSON.
-REPO_NUMBER = """btrim(props, '{"k": }')"""
-
-
 def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
@@ -29,14 +25,16 @@ def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adapt(table: DataFrame) -> DataFrame:
-    return table.selectExpr(
+    """``k`` is read from the JSON once; other keys and spacing do not matter."""
+    known = table.withColumn("k", F.get_json_object("props", "$.k"))
+    return known.selectExpr(
         "CAST(event_id AS STRING) AS event_id",
         "event_type",
         "ts AS created_at",
         "CAST(user_id AS INT) AS actor_id",
         "concat('user_', user_id) AS actor_login",
-        f"CAST({REPO_NUMBER} AS INT) AS repo_id",
-        f"concat('org/repo', {REPO_NUMBER}) AS repo_name",
+        "CAST(k AS INT) AS repo_id",
+        "concat('org/repo', k) AS repo_name",
         "props AS payload",
     )
 
@@ -61,7 +59,7 @@ def raw_feed(
         iso(F.col("ts") + F.expr("INTERVAL 5 MINUTES")),
         F.lit('"'),
     )
-    repo_number = F.expr(REPO_NUMBER)
+    repo_number = F.col("k")
     line = F.concat(
         F.lit('{"id":"'),
         "event_id",
@@ -85,7 +83,8 @@ def raw_feed(
         ingested if stamped else F.lit(""),
         F.lit("}"),
     )
-    return sample_table(spark, sf_dir).select(
+    table = sample_table(spark, sf_dir)
+    return table.withColumn("k", F.get_json_object("props", "$.k")).select(
         line.alias("value"),
         source_file.alias("source_file"),
         F.lit(0).cast("long").alias("block_start"),

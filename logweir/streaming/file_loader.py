@@ -10,10 +10,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.jsonlines import is_blank
 from logweir.functions.time import naive_utc
-from logweir.plans.skew import within_bound
+from logweir.plans.shared import within_bound
 from logweir.sources.lake import read_manifest
-from logweir.sources.loader import load_batch
-from logweir.sources.rawfiles import RAW_PATTERN, file_and_block, line_number
+from logweir.sources.loader import load_batch, retry_rejected
+from logweir.sources.rawfiles import (
+    LANDED_FOLDERS,
+    LANDED_PATTERN,
+    RAW_PATTERN,
+    escaped,
+    file_and_block,
+    line_number,
+)
 
 
 def stream_load(
@@ -23,20 +30,27 @@ def stream_load(
     checkpoint_dir: str,
     *,
     max_files_per_trigger: int = 1000,
-    pattern: str = RAW_PATTERN,
+    pattern: str | None = None,
     once: bool = True,
 ) -> StreamingQuery:
     """Load files as they arrive; ``once`` stops when the folder is worked off.
 
     Micro-batches hold whole files and commit like a load does, so a repeated
     micro-batch adds nothing. Among copies of an event the first to arrive
-    wins, and by file name within a micro-batch.
+    wins, and by file name within a micro-batch. The folder's own files and those
+    of landed subfolders are read, or with ``pattern`` only the folder's that match.
+    A stream is offered a file once, so files refused before for their lines are
+    tried again when a stream starts.
     """
+    retry_rejected(spark, raw_dir, lake_dir)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    if pattern is None:
+        both = f"{{{RAW_PATTERN},{LANDED_FOLDERS}/{LANDED_PATTERN}}}"
+        found = reader.text(f"{escaped(raw_dir)}/{both}")
+    else:
+        found = reader.option("pathGlobFilter", pattern).text(raw_dir)
     lines = (
-        spark.readStream.option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .text(raw_dir)
-        .select(
+        found.select(
             "value",
             *file_and_block(),
             F.col("_metadata.file_path").alias("path"),

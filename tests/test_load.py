@@ -19,6 +19,7 @@ from logweir import (
 from logweir.functions.jsonlines import split_response
 from logweir.schemas import EVENTS, LOADED_FILES
 from logweir.sources import rawfiles
+from logweir.sources.lake import read_rejected
 
 
 class Folder:
@@ -127,9 +128,42 @@ def test_blank_lines(folder):
     assert folder.load() == (2, 2, 0, 1)
 
 
-def test_file_without_a_byte_is_not_seen(folder):
-    (folder.raw / "a.jsonl").write_text("")
-    assert folder.load() == (0, 0, 0, 0)
+def test_file_without_a_byte_is_counted_and_recorded(folder):
+    (folder.raw / "a b.jsonl").write_text("")
+    assert folder.load() == (1, 1, 0, 0)
+    row = folder.manifest()["a b.jsonl"]
+    assert row.file_size == 0 and row.file_sha256 == hashlib.sha256(b"").hexdigest()
+    folder.write("c.jsonl", line(id="e1"))
+    assert folder.load() == (2, 1, 1, 1)
+
+
+NAMES = [
+    "events_1.jsonl", "events_2.jsonl", "events_{2,3}.jsonl", "events_[b].jsonl", "a*.jsonl",
+    "q?.jsonl", "x y.jsonl", "x!y.jsonl", "p%20q.jsonl", "1+1.jsonl", "grün é.jsonl",
+]
+
+
+def test_any_file_name(folder):
+    for i, name in enumerate(NAMES):
+        folder.write(name, line(id=f"e{i}"), line(id="same"))
+    assert folder.load() == (len(NAMES), len(NAMES), 0, len(NAMES) + 1)
+    assert set(folder.manifest()) == set(NAMES)
+    events = folder.events()
+    assert [events[f"e{i}"].source_file for i in range(len(NAMES))] == NAMES
+    assert events["same"].source_file == min(NAMES)
+    for name, row in folder.manifest().items():
+        content = (folder.raw / name).read_bytes()
+        assert row.file_sha256 == hashlib.sha256(content).hexdigest()
+    assert folder.load() == (len(NAMES), 0, len(NAMES), 0)
+
+
+def test_refused_files_are_all_recorded(folder):
+    for i in range(25):
+        folder.write(f"f{i:02d}.jsonl", BROKEN)
+    assert folder.load() == (25, 0, 0, 0)
+    refused = read_rejected(folder.spark, folder.lake).collect()
+    assert sorted(r.file_path for r in refused) == [f"f{i:02d}.jsonl" for i in range(25)]
+    assert {r.reason for r in refused} == {loader.INVALID}
 
 
 def test_only_jsonl_and_no_subfolders(folder):
@@ -247,17 +281,15 @@ def test_views_after_a_load(folder):
 
 def test_large_file_fingerprint(spark, tmp_path, monkeypatch):
     folder = Folder(spark, tmp_path)
-    folder.write("a.jsonl", *(line(id=str(i)) for i in range(50)))
-    folder.write("b.jsonl", *(line(id=str(i)) for i in range(50)))
+    folder.write("a [1].jsonl", *(line(id=str(i)) for i in range(50)))
     folder.write("c.jsonl", line(id="other"))
     files = rawfiles.list_files(spark, str(folder.raw)).collect()
     exact = {r.file_path: r for r in rawfiles.fingerprints(spark, files).collect()}
     monkeypatch.setattr(rawfiles, "MAX_HASH_BYTES", 1000)
-    mixed = {r.file_path: r for r in rawfiles.fingerprints(spark, files).collect()}
-    assert mixed["c.jsonl"] == exact["c.jsonl"]
-    assert mixed["a.jsonl"].file_sha256 == mixed["b.jsonl"].file_sha256
-    assert mixed["a.jsonl"].file_sha256 != exact["a.jsonl"].file_sha256
-    assert mixed["a.jsonl"].file_size == exact["a.jsonl"].file_size
+    monkeypatch.setattr(rawfiles, "PIECE", 100)
+    assert {r.file_path: r for r in rawfiles.fingerprints(spark, files).collect()} == exact
+    content = (folder.raw / "a [1].jsonl").read_bytes()
+    assert exact["a [1].jsonl"].file_sha256 == hashlib.sha256(content).hexdigest()
 
 
 def test_line_order_in_a_file_cut_into_blocks(folder):

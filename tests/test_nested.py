@@ -4,7 +4,8 @@ from datetime import timedelta
 import pytest
 from conftest import N
 
-from logweir import create_views, repo_events_nested, repo_events_nested_parts
+from logweir import create_views, repo_events_nested, repo_events_nested_parts, sessionize
+from logweir.operators import nested
 from logweir.operators.nested import first_and_last, flatten_parts, list_lengths
 
 
@@ -49,7 +50,7 @@ def test_large_repositories_continue_in_parts(events, bound):
     random.seed(3)
     rows = [
         (f"e{i}", "a", random.choice(["hot", "hot", "hot", "cold", None]),
-         N + timedelta(seconds=random.randrange(20)))
+         N + timedelta(hours=random.randrange(90)))
         for i in range(120)
     ]
     expected = {}
@@ -65,12 +66,32 @@ def test_large_repositories_continue_in_parts(events, bound):
     assert lengths == {k: len(v) for k, v in expected.items()}
     ends = {r.repo_name: (r.first_event_id, r.last_event_id) for r in first_and_last(parts).collect()}
     assert ends == {k: (v[0], v[-1]) for k, v in expected.items()}
-    flat = {(r.repo_name, r.position): r.event_id for r in flatten_parts(parts, bound).collect()}
+    flat = {(r.repo_name, r.position): r.event_id for r in flatten_parts(parts).collect()}
     assert flat == {(k, i + 1): e for k, v in expected.items() for i, e in enumerate(v)}
 
 
-def test_one_row_form_refuses_what_does_not_fit(events):
-    rows = events(*((f"e{i}", "a", "r", N) for i in range(5)))
-    with pytest.raises(ValueError, match="parts"):
-        repo_events_nested(rows, max_events_per_row=4)
-    assert repo_events_nested(rows, max_events_per_row=5).count() == 1
+def test_views_hold_a_repository_above_the_part_size(spark, events, monkeypatch):
+    rows = events(*((f"e{i}", "a", "r", N + timedelta(hours=9 * i)) for i in range(11)))
+    monkeypatch.setattr(nested.repo_events_nested, "__kwdefaults__", {"max_events_per_row": 4})
+    create_views(rows)
+    for name in ["repo_events_nested", "repo_events_nested_v1", "repo_events_nested_v2_parts"]:
+        got = spark.sql(f"SELECT part, first_position, size(events) FROM {name} ORDER BY part")
+        assert [tuple(r) for r in got.collect()] == [(0, 1, 4), (1, 5, 4), (2, 9, 3)]
+
+
+def test_building_starts_no_job(spark, events):
+    rows = events(("e1", "a", "r", N), ("e2", "a", "r", N))
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        create_views(rows)
+        repo_events_nested(rows, 1)
+        sessionize(rows)
+        tracker = spark.sparkContext.statusTracker()
+        assert tracker.getJobIdsForGroup("build") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_part_size_must_be_positive(events):
+    with pytest.raises(ValueError):
+        repo_events_nested(events(("e1", "a", "r", N)), max_events_per_row=0)

@@ -4,7 +4,7 @@ from conftest import N
 from test_load import Folder
 from test_parse import BROKEN, line
 
-from logweir import stream_load, stream_sessions
+from logweir import land_events, read_events, read_manifest, stream_load, stream_sessions
 from logweir.operators.sessions import session_totals
 
 
@@ -110,3 +110,30 @@ def test_append_mode_gives_final_sessions_once(spark, events, tmp_path):
     assert advance() == []
     put("two", ("e3", "bob", "r", N + timedelta(hours=3)))
     assert advance() == [2]
+
+
+def test_stream_sees_landed_files_and_any_name(spark, tmp_path):
+    raw, lake = tmp_path / "raw {1}", str(tmp_path / "lake")
+    raw.mkdir()
+    names = ["e_{2,3}.jsonl", "e[b].jsonl", "x y%20+ü.jsonl"]
+    for i, name in enumerate(names):
+        (raw / name).write_text(line(id=f"e{i}") + "\n")
+    source = spark.createDataFrame([(line(id="landed"),)], "value string")
+    land_events(source, str(raw))
+    stream_load(spark, str(raw), lake, str(tmp_path / "c")).awaitTermination()
+    found = {r.event_id: r.source_file for r in read_events(spark, lake).collect()}
+    assert [found[f"e{i}"] for i in range(3)] == names and "landed" in found
+    assert set(names) < {r.file_path for r in read_manifest(spark, lake).collect()}
+
+
+def test_mended_file_loads_when_the_stream_starts_again(spark, tmp_path):
+    raw, lake, state = tmp_path / "raw", str(tmp_path / "lake"), str(tmp_path / "c")
+    raw.mkdir()
+    (raw / "a.jsonl").write_text("{broken\n")
+    stream_load(spark, str(raw), lake, state).awaitTermination()
+    assert read_events(spark, lake).count() == 0
+    (raw / "a.jsonl").write_text(line(id="e1") + "\n")
+    stream_load(spark, str(raw), lake, state).awaitTermination()
+    assert [r.event_id for r in read_events(spark, lake).collect()] == ["e1"]
+    stream_load(spark, str(raw), lake, state).awaitTermination()
+    assert read_events(spark, lake).count() == 1
