@@ -312,7 +312,8 @@ def prefixes(rows: DataFrame, text_col: str, counts: np.ndarray, percent: int) -
                 for text in batch.column(1):
                     own = shingles(text.as_py())
                     n = len(own)
-                    often = counters[(own % np.uint64(SKETCH)).astype("int64")]
+                    # Signed, so that the division below may round up.
+                    often = counters[(own % np.uint64(SKETCH)).astype("int64")].astype("int64")
                     length = min(n, n - least_partner(n, percent) + SHARED)
                     first = np.lexsort((own, often))[:length]
                     tokens.append(_signed(own[first]))
