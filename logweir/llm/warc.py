@@ -196,7 +196,7 @@ class Member:
         self.next = at + 2 * bool(flags & 2)
 
     def more(self, n: int) -> bool:
-        """Decode at least one and about ``n`` further bytes; False at the end."""
+        """Decode at least one and at most ``n`` further bytes; False at the end."""
         if self.end is not None:
             return False
         if not self.packed:
@@ -209,10 +209,11 @@ class Member:
             piece = self.window.get(self.next, min(n, WINDOW))
             if not piece:
                 raise ValueError("a gzip member ends too early")
-            self.out += self.inflate.decompress(piece)
-            self.next += len(piece)
-            if self.inflate.eof:
-                self.next -= len(self.inflate.unused_data)
+            self.out += self.inflate.decompress(piece, n)
+            ended = self.inflate.eof
+            left = self.inflate.unused_data if ended else self.inflate.unconsumed_tail
+            self.next += len(piece) - len(left)
+            if ended:
                 crc, _ = struct.unpack("<II", self.window.get(self.next, 8))
                 if crc != zlib.crc32(self.out):
                     raise ValueError("a record's checksum is wrong")
@@ -222,6 +223,7 @@ class Member:
     def until(self, mark: bytes, start: int = 0) -> int:
         """The place behind ``mark``, or -1 when the record ends without it."""
         while (found := self.out.find(mark, start)) < 0:
+            start = max(start, len(self.out) - len(mark) + 1)
             if not self.more(1024):
                 return -1
         return found + len(mark)
