@@ -2,9 +2,11 @@
 
 from logweir.llm import (
     decontamination,
+    importance,
     jaccard_join,
     line_rules,
     mixing,
+    periodic,
     quality,
     severity,
     sharding,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_digest_array": url_lists.op8_digest_array,
     "op9_feistel_shards": sharding.op9_feistel_shards,
     "op10_subword_quality": quality.op10_subword_quality,
+    "op11_recompression_runs": periodic.op11_recompression_runs,
+    "op12_crc_importance": importance.op12_crc_importance,
 }
 
 ORACLES = {
@@ -32,4 +36,6 @@ ORACLES = {
     "op6_positional_index": decontamination.OP6_SQL,
     "op7_warc_round_trip": warc.OP7_SQL,
     "op8_digest_array": url_lists.OP8_SQL,
+    "op11_recompression_runs": periodic.OP11_SQL,
+    "op12_crc_importance": importance.OP12_SQL,
 }
