@@ -51,10 +51,12 @@ def crc_columns(matrix: np.ndarray) -> np.ndarray:
 def crc_of_features(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """CRC-32 of ``data[s : s + n]`` for all pairs of ``starts`` and ``lengths``."""
     out = np.zeros(len(starts), "uint32")
+    if not len(starts):
+        return out
     order = np.argsort(lengths, kind="stable")
     sizes, first = np.unique(lengths[order], return_index=True)
     for size, group in zip(sizes, np.split(order, first[1:]), strict=True):
-        if size > MAX_COLUMNS:
+        if size == 0 or size > MAX_COLUMNS:
             out[group] = [zlib.crc32(data[s : s + size]) for s in starts[group]]
             continue
         matrix = data[starts[group][:, None] + np.arange(size)]

@@ -10,6 +10,7 @@ from logweir.llm import (
     quality,
     severity,
     sharding,
+    substrings,
     token_counts,
     url_lists,
     warc,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_subword_quality": quality.op10_subword_quality,
     "op11_recompression_runs": periodic.op11_recompression_runs,
     "op12_crc_importance": importance.op12_crc_importance,
+    "op13_suffix_subtrees": substrings.op13_suffix_subtrees,
 }
 
 ORACLES = {
@@ -38,4 +40,5 @@ ORACLES = {
     "op8_digest_array": url_lists.OP8_SQL,
     "op11_recompression_runs": periodic.OP11_SQL,
     "op12_crc_importance": importance.OP12_SQL,
+    "op13_suffix_subtrees": substrings.OP13_SQL,
 }
