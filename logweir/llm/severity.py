@@ -1,14 +1,18 @@
 """Toxicity severity by cumulative-link (proportional odds) ordinal regression.
 
-With sparse word features x and grades 0..K-1,
+With sparse text features x and grades 0..K-1,
 
     P(grade <= k | x) = sigmoid(threshold_k - weight . x),
 
-one weight vector for all ordered thresholds. The loss is the weighted negative
-log likelihood of the observed grades with an L1 penalty on the weights, minimised
-by accelerated proximal gradient steps in numpy; most weights end at zero, so only
-a small model is broadcast. The result is the expected severity, the sum over k of
-P(grade > k).
+one weight vector for all ordered thresholds. Features are a text's words and the
+beginnings of its words, so that a stem with many endings is one feature; a value is
+the log of the count per hundred words. The loss is the weighted negative log
+likelihood of the grades with an L1 penalty on the weights, minimised by accelerated
+proximal gradient steps in numpy; most weights end at zero, so only a small model is
+broadcast. The result is the expected severity, the sum over k of P(grade > k).
+
+Labels say toxic or not. A toxic document's grade is its third among the toxic ones by
+the signal of a model that was fitted without it.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -29,17 +33,20 @@ from logweir.llm.common import fit_in_task, labelled_sample, table, with_fields
 
 # Labelled documents of each kind that the model is fitted on, at most.
 SAMPLE_PER_CLASS = 2_000
-# A word is a feature if it is in so many toxic documents of the sample, in so large
-# a share of them, and so many times as common there as in the others (or the
-# reverse). Without this screen long texts would add up many weak words.
-MIN_DOCS, MIN_SHARE, CONTRAST = 3, 0.05, 4.0
+# Characters of a word's beginnings.
+PREFIXES = (3, 4, 5, 6)
+# A feature is used if it is in so many documents of one kind, and if the difference of
+# its shares in the two kinds is so many standard errors. That is a test of each feature
+# on its own: a language with few labels keeps its features too.
+MIN_DOCS, MIN_ERRORS = 3, 4.0
 PENALTY = 0.0001
 STEPS = 300
-# Score from which a document counts as toxic: twice or so the score of a document
-# without features, which the labels' noise sets at about 0.05.
-FLAG_AT = 0.12
-# Distinct telling words from which a toxic document has grade 2 and grade 3.
-GRADE_STEPS = (3, 5)
+FOLDS = 3
+# Grades of toxic documents, from 1 on.
+GRADES = 3
+FLAG_AT = 0.5
+# Distinct words whose features a worker remembers; it starts anew when full.
+CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,84 +55,115 @@ def word_counts(text: str | None) -> Counter:
     return Counter(_WORD.findall(text.lower())) if text else Counter()
 
 
+def word_features(word: str) -> list[str]:
+    """The word itself, marked by its end, and its beginnings."""
+    return [word + "$", *(word[:n] for n in PREFIXES if len(word) > n)]
+
+
+def value(count: float, words: int) -> float:
+    """Log count per hundred words; short texts are not blown up."""
+    return math.log1p(100 * count / max(words, 100))
+
+
 @dataclass
 class Severity:
     weights: dict[str, float]
     thresholds: np.ndarray
+    cache: dict[str, tuple] = field(default_factory=dict, repr=False, compare=False)
 
     def signal(self, text: str | None) -> float:
-        """weight . x, with 1 + log(count) features."""
+        """weight . x"""
         if not text or not self.weights:
             return 0.0
-        hits = Counter(w for w in _WORD.findall(text.lower()) if w in self.weights)
-        return sum(self.weights[w] * (1 + math.log(n)) for w, n in sorted(hits.items()))
+        counts = word_counts(text)
+        if len(self.cache) + len(counts) > CACHE_WORDS:
+            self.cache.clear()
+        total: Counter = Counter()
+        for word, n in counts.items():
+            own = self.cache.get(word)
+            if own is None:
+                own = tuple(f for f in word_features(word) if f in self.weights)
+                self.cache[word] = own
+            for name in own:
+                total[name] += n
+        words = counts.total()
+        return sum(self.weights[f] * value(n, words) for f, n in sorted(total.items()))
 
     def above(self, signals: np.ndarray) -> np.ndarray:
         """P(grade > k), a column for each threshold."""
         return 1 / (1 + np.exp(np.clip(self.thresholds - signals[:, None], -60, 60)))
 
 
-def telling_words(counts: list[Counter], toxic: np.ndarray, least: int = MIN_DOCS) -> set[str]:
-    """Words in toxic documents at ten times the rate of the others, or more."""
-    bad, good = Counter(), Counter()
-    for own, label in zip(counts, toxic, strict=True):
-        (bad if label else good).update(own.keys())
-    n_bad, n_good = max(int(toxic.sum()), 1), max(int((1 - toxic).sum()), 1)
-    return {
-        w
-        for w, n in bad.items()
-        if n >= least and n / n_bad >= 10 * (good[w] + 1) / n_good
-    }
+def telling_features(
+    texts: list, toxic: np.ndarray, min_docs: int = MIN_DOCS, min_errors: float = MIN_ERRORS
+) -> list[str]:
+    """Features whose shares in the two kinds of documents differ for sure."""
+    kinds = [Counter(), Counter()]
+    for text, label in zip(texts, toxic, strict=True):
+        kinds[int(label > 0)].update({f for w in word_counts(text) for f in word_features(w)})
+    n0, n1 = max(int((toxic <= 0).sum()), 1), max(int((toxic > 0).sum()), 1)
+    found = []
+    for name in kinds[0].keys() | kinds[1].keys():
+        a, b = kinds[0][name], kinds[1][name]
+        if max(a, b) < min_docs:
+            continue
+        share = (a + b + 1) / (n0 + n1 + 2)
+        error = math.sqrt(share * (1 - share) * (1 / n0 + 1 / n1))
+        if abs((a + 0.5) / (n0 + 1) - (b + 0.5) / (n1 + 1)) > min_errors * error:
+            found.append(name)
+    return sorted(found)
 
 
-def grades(counts: list[Counter], toxic: np.ndarray) -> np.ndarray:
-    """Grade 0 for documents not toxic; toxic ones by their distinct telling words."""
-    telling = telling_words(counts, toxic)
-    distinct = np.array([len(own.keys() & telling) for own in counts])
-    severe = 1 + sum((distinct >= step).astype(int) for step in GRADE_STEPS)
-    return np.where(toxic > 0, severe, 0)
+@dataclass
+class Matrix:
+    """Sparse values of ``names`` in a number of documents."""
 
+    rows: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+    documents: int
+    names: list[str]
+
+    def signals(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, self.values * weights[self.columns], minlength=self.documents)
+
+    def only(self, kept: np.ndarray) -> Matrix:
+        number = np.cumsum(kept) - 1
+        own = kept[self.rows]
+        rows = number[self.rows[own]]
+        return Matrix(rows, self.columns[own], self.values[own], int(kept.sum()), self.names)
 
-def screened(
-    counts: list[Counter], grade: np.ndarray, min_docs: int, min_share: float
-) -> list[str]:
-    """Words common in one kind of documents and rare in the other."""
-    kinds = [Counter(), Counter()]
-    for own, g in zip(counts, grade, strict=True):
-        kinds[int(g > 0)].update(own.keys())
-    sizes = [max(int((grade == 0).sum()), 1), max(int((grade > 0).sum()), 1)]
-    found = set()
-    for this in (0, 1):
-        least = max(min_docs, min_share * sizes[this])
-        for w, n in kinds[this].items():
-            other = (kinds[1 - this][w] + 1) / sizes[1 - this]
-            if n >= least and n / sizes[this] >= CONTRAST * other:
-                found.add(w)
-    return sorted(found)
+
+def matrix(texts: list, names: list[str]) -> Matrix:
+    number = {name: i for i, name in enumerate(names)}
+    rows, columns, values = [], [], []
+    for i, text in enumerate(texts):
+        counts, total = word_counts(text), Counter()
+        for word, n in counts.items():
+            for name in word_features(word):
+                if name in number:
+                    total[name] += n
+        words = counts.total()
+        for name, n in sorted(total.items()):
+            rows.append(i)
+            columns.append(number[name])
+            values.append(value(n, words))
+    return Matrix(
+        np.array(rows, "int64"), np.array(columns, "int64"), np.array(values, "float64"), len(texts), names
+    )
 
 
 def fit_ordinal(
-    counts: list[Counter],
+    x: Matrix,
     grade: np.ndarray,
     weight: np.ndarray,
     penalty: float = PENALTY,
     steps: int = STEPS,
-    min_docs: int = MIN_DOCS,
-    min_share: float = MIN_SHARE,
-) -> Severity:
-    """The regression on word counts, grades and document weights."""
-    words = screened(counts, grade, min_docs, min_share)
-    number = {w: i for i, w in enumerate(words)}
-    rows, columns, values = [], [], []
-    for i, own in enumerate(counts):
-        for w, n in own.items():
-            if w in number:
-                rows.append(i)
-                columns.append(number[w])
-                values.append(1 + math.log(n))
-    rows, columns = np.array(rows, "int64"), np.array(columns, "int64")
-    values = np.array(values)
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds from features, grades and document weights."""
+    rows, columns, values = x.rows, x.columns, x.values
     n, top = len(grade), int(grade.max())
+    words = x.names
     weight = weight / weight.sum()
     share = np.array([weight[grade <= k].sum() for k in range(top)])
     share = np.clip(share, 1e-6, 1 - 1e-6)
@@ -136,7 +174,7 @@ def fit_ordinal(
         return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
     def loss_and_slopes(w: np.ndarray, theta: np.ndarray):
-        eta = np.bincount(rows, values * w[columns], minlength=n)
+        eta = x.signals(w)
         bounds = np.concatenate([[-np.inf], theta, [np.inf]])
         up, low = bounds[grade + 1], bounds[grade]
         f_up = np.where(np.isinf(up), 1.0, sigmoid(up - eta))
@@ -176,8 +214,30 @@ def fit_ordinal(
         ahead_theta = np.maximum.accumulate(new_theta + push * (new_theta - theta))
         ahead_theta = ahead_theta + 1e-6 * np.arange(top)
         w, theta, t = new_w, new_theta, t_next
-    kept = np.flatnonzero(w)
-    return Severity({words[i]: float(w[i]) for i in kept}, theta)
+    return w, theta
+
+
+def grades(x: Matrix, toxic: np.ndarray, weight: np.ndarray, **how) -> np.ndarray:
+    """0 for documents not toxic; toxic ones in equal parts by their out-of-fold signal."""
+    signal = np.zeros(len(toxic))
+    fold = np.arange(len(toxic)) % FOLDS
+    for part in range(FOLDS):
+        out = fold == part
+        if toxic[out].any() and 0 < toxic[~out].sum() < (~out).sum():
+            w, _ = fit_ordinal(x.only(~out), toxic[~out], weight[~out], **how)
+            signal[out] = x.only(out).signals(w)
+    severe = np.flatnonzero(toxic > 0)
+    severe = severe[np.argsort(signal[severe], kind="stable")]
+    out = np.zeros(len(toxic), "int64")
+    out[severe] = 1 + np.arange(len(severe)) * GRADES // max(len(severe), 1)
+    return out
+
+
+def fit_texts(texts: list, toxic: np.ndarray, weight: np.ndarray, **how) -> Severity:
+    """The whole fit: features, grades, weights."""
+    x = matrix(texts, telling_features(texts, toxic))
+    w, theta = fit_ordinal(x, grades(x, toxic, weight, **how), weight, **how)
+    return Severity({x.names[i]: float(w[i]) for i in np.flatnonzero(w)}, theta)
 
 
 def fit_severity(
@@ -189,10 +249,10 @@ def fit_severity(
 ) -> Severity:
     """A model from toxicity labels of documents outside the held-out fold.
 
-    The labels say toxic or not; among toxic documents of the sample the grade is
-    1, 2 or 3 by the number of distinct words that the labels tie to toxicity.
-    Both kinds are drawn evenly and weighted back to their numbers. Without labels
-    of both kinds there is one threshold at the smoothed share.
+    The labels say toxic or not; the grade of a toxic document of the sample is 1, 2 or
+    3. Both kinds are drawn evenly and weighted back to their numbers, so that a score
+    of 0.5 is even odds. Without labels of both kinds there is one threshold at the
+    smoothed share.
     """
     sample, counts = labelled_sample(docs, labels, label, sample_per_class)
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
@@ -202,10 +262,9 @@ def fit_severity(
     def fit(frame: pd.DataFrame) -> Severity:
         # Copies of one text would make its rare words telling.
         frame = frame.drop_duplicates(["text", "label"])
-        words = [word_counts(text) for text in frame["text"]]
         toxic = frame["label"].to_numpy("int64")
         each = np.where(toxic > 0, n1 / max(toxic.sum(), 1), n0 / max((1 - toxic).sum(), 1))
-        return fit_ordinal(words, grades(words, toxic), each, **how)
+        return fit_texts(list(frame["text"]), toxic, each, **how)
 
     return fit_in_task(sample, fit)
 
