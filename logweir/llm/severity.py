@@ -39,7 +39,7 @@ PREFIXES = (3, 4, 5, 6)
 # its shares in the two kinds is so many standard errors. That is a test of each feature
 # on its own: a language with few labels keeps its features too.
 MIN_DOCS, MIN_ERRORS = 3, 4.0
-PENALTY = 0.0001
+PENALTY = 0.0003
 STEPS = 300
 FOLDS = 3
 # Grades of toxic documents, from 1 on.
