@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from logweir.functions.jsonlines import add_ingested_at  # noqa: E402
-from logweir.functions.time import ntz  # noqa: E402
+from logweir.functions.time import naive_utc, ntz  # noqa: E402
 from logweir.operators import explore, loading, nested, repos, sessions  # noqa: E402
 from logweir.plans.shared import run_folder  # noqa: E402
-from logweir.sources.lake import read_events  # noqa: E402
+from logweir.sources import id_index  # noqa: E402
+from logweir.sources.lake import compact_events, read_events  # noqa: E402
 from logweir.sources.landing import land_events  # noqa: E402
 from logweir.sources.loader import load_events  # noqa: E402
 from logweir.sources.sample_tables import (  # noqa: E402
@@ -278,6 +279,54 @@ def _load_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_columns(read_events(spark, f"{folder}/lake"))
 
 
+def _load_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders named with the signs of patterns; what a pattern would match as well
+    lies beside them and must stay unread."""
+    folder = _fresh_folder(spark)
+    feed = raw_feed(spark, sf_dir, source_file=_daily_file(), stamped=False)
+    for name, rest in [("q?[1] {a,b}", 0), ("qa1 a", 1)]:
+        rows = feed.filter(F.col("line") % 2 == rest).select("value")
+        land_events(rows, f"{folder}/{name}", max_records=5000, ingest_ts=STAMP)
+    for _ in range(2):
+        load_events(spark, f"{folder}/q?[1] {{a,b}}", f"{folder}/lake[1]*", views=False)
+    return _stored_columns(read_events(spark, f"{folder}/lake[1]*"))
+
+
+def _load_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five loads of five slices, made one batch; rows and batches afterwards."""
+    folder = _fresh_folder(spark)
+    feed = raw_feed(spark, sf_dir, source_file=_daily_file(), stamped=False)
+    for part in range(5):
+        land_events(
+            feed.filter(F.col("line") % 5 == part).select("value"),
+            f"{folder}/raw",
+            max_records=5000,
+            ingest_ts=STAMP,
+        )
+        load_events(spark, f"{folder}/raw", f"{folder}/lake", views=False)
+    replaced = compact_events(spark, f"{folder}/lake")
+    table = read_events(spark, f"{folder}/lake")
+    batches = table.select("batch_id").distinct().count()
+    return _stored_columns(table).select(
+        "*", F.lit(replaced).alias("replaced"), F.lit(batches).alias("batches")
+    )
+
+
+def _load_id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New events against a bucketed index of those stored, a third not covered yet."""
+    folder = _fresh_folder(spark)
+    stored = raw_feed(spark, sf_dir, source_file=_daily_file(), stamped=False)
+    early = F.col("source_file") < "events_2024-01-16"
+    for part in (0, 1, 2):
+        rows = stored.filter(early & (F.col("line") % 3 == part)).select("value")
+        land_events(rows, f"{folder}/raw", max_records=50_000, ingest_ts=STAMP)
+        load_events(spark, f"{folder}/raw", f"{folder}/lake", views=False)
+        if part == 1:
+            id_index.rebuild(spark, f"{folder}/lake", naive_utc(STAMP))
+    new = loading.dedup_first(loading.parse_lines(_twice_feed(spark, sf_dir)))
+    return id_index.drop_indexed(spark, f"{folder}/lake", new).select("event_id", "created_at")
+
+
 def _stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the file stream."""
     folder = _fresh_folder(spark)
@@ -369,6 +418,9 @@ def queries() -> dict[str, Query]:
         "manifest_latest": _manifest_latest,
         "load_report": _load_report,
         "load_end_to_end": _load_end_to_end,
+        "load_compact": _load_compact,
+        "load_id_index": _load_id_index,
+        "load_odd_names": _load_odd_names,
         "stream_load": _stream_load,
         "stream_sessions": _stream_sessions,
     }
@@ -607,6 +659,12 @@ def oracle_sql() -> dict[str, str]:
                    true AS all_counted, count(*) AS inserted_events FROM events
             UNION ALL SELECT 2, false, true, true, 0""",
         "load_end_to_end": _LOADED,
+        "load_compact": f"""SELECT *, 5 AS replaced, CAST(1 AS BIGINT) AS batches
+            FROM ({_LOADED})""",
+        "load_id_index": """
+            SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS created_at
+            FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'""",
+        "load_odd_names": f"SELECT * FROM ({_LOADED}) WHERE CAST(event_id AS BIGINT) % 2 = 0",
         "stream_load": _LOADED,
         "stream_sessions": f"""{_WITH_EVENTS},
             sequenced AS (

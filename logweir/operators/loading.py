@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.functions.jsonlines import payload_text, strip
-from logweir.plans.shared import MAX_BROADCAST_ROWS, cut, within_bound
+from logweir.plans.shared import MAX_BROADCAST_ROWS, within_bound
+from logweir.plans.shared import stored_and_counted as written
 from logweir.schemas import RAW_EVENT
 
 # Files are taken in name order; a file cut into blocks keeps its line order.
@@ -91,6 +92,22 @@ def _status() -> Column:
     return F.when(fatal, "fatal").when(violating, "violating").otherwise("ok")
 
 
+def id_table(parsed: DataFrame) -> DataFrame:
+    """One row per event id and file: all that deciding about lines takes.
+
+    ``lost`` says that a line fails the file whatever else is there, ``good`` and
+    ``bad`` are the places of the first ok and the first violating line, ``copies`` is
+    the number of ok lines.
+    """
+    ok, place = F.col("status") == "ok", F.struct(*PLACE[1:])
+    return parsed.groupBy("event_id", "source_file").agg(
+        F.max((F.col("status") == "fatal") | (F.col("event_id").isNull() & ~ok)).alias("lost"),
+        F.min(F.when(ok, place)).alias("good"),
+        F.min(F.when(F.col("status") == "violating", place)).alias("bad"),
+        F.count_if(ok).alias("copies"),
+    )
+
+
 def failed_files(parsed: DataFrame, stored: DataFrame) -> DataFrame:
     """Names of the files that must contribute nothing.
 
@@ -100,45 +117,46 @@ def failed_files(parsed: DataFrame, stored: DataFrame) -> DataFrame:
     clause is why the answer is found in rounds; failures only ever grow, and
     nearly always the first round settles it.
     """
-    # One row per file and id, however often the id is repeated in the file.
-    problems = cut(
-        parsed.filter(F.col("status") != "ok")
-        .groupBy("event_id", "source_file")
-        .agg(
-            F.max((F.col("status") == "fatal") | F.col("event_id").isNull()).alias("lost"),
-            F.min(F.struct(*PLACE)).alias("place"),
+    return failures(written(id_table(parsed))[0], stored)
+
+
+def failures(ids: DataFrame, stored: DataFrame) -> DataFrame:
+    """``failed_files`` from a written ``id_table``; only its narrow rows are read.
+
+    A round looks at those doubtful lines alone that leant on a file which failed in
+    the round before.
+    """
+    failed = ids.filter("lost").select("source_file").distinct()
+    doubts = ids.filter("bad IS NOT NULL AND NOT lost AND (good IS NULL OR bad < good)")
+    doubts, count = written(
+        doubts.select("event_id", "source_file").join(
+            stored.select("event_id"), "event_id", "left_anti"
         )
     )
-    failed = problems.filter("lost").select("source_file").distinct()
-    doubtful = cut(
-        problems.filter("NOT lost").join(stored.select("event_id"), "event_id", "left_anti")
-    )
-    doubts = doubtful.count()
-    if doubts == 0:
+    if not count:
         return failed
-    reached = parsed.filter(F.col("status") == "ok").select("event_id", *PLACE)
-    if doubts <= MAX_BROADCAST_ROWS:
-        ids = F.broadcast(doubtful.select("event_id"))
-        reached = reached.join(ids, "event_id", "left_semi")
-    reached = cut(
-        reached.groupBy("event_id", "source_file").agg(
-            F.min(F.struct(*PLACE)).alias("place")
-        )
+    support = ids.filter("good IS NOT NULL").select("event_id", "source_file")
+    support, _ = written(
+        support.join(within_bound(doubts.select("event_id"), count), "event_id", "left_semi")
     )
-    failures = failed.count()
+    failed, known = written(failed)
+    open_ = doubts
     while True:
         earliest = (
-            without_files(reached, failed, failures)
+            without_files(support, failed, known)
             .groupBy("event_id")
-            .agg(F.min("place").alias("earliest"))
+            .agg(F.min("source_file").alias("earliest"))
         )
-        unmet = doubtful.join(earliest, "event_id", "left").filter(
-            F.col("earliest").isNull() | (F.col("earliest") > F.col("place"))
+        unmet = open_.join(earliest, "event_id", "left").filter(
+            F.col("earliest").isNull() | (F.col("earliest") >= F.col("source_file"))
         )
-        failed = cut(failed.union(unmet.select("source_file")).distinct())
-        before, failures = failures, failed.count()
-        if failures == before:
+        new = without_files(unmet.select("source_file").distinct(), failed, known)
+        new, more = written(new)
+        if not more:
             return failed
+        failed, known = failed.union(new), known + more
+        fallen = support.join(within_bound(new, more), "source_file", "left_semi")
+        open_ = doubts.join(fallen.select("event_id").distinct(), "event_id", "left_semi")
 
 
 def without_files(rows: DataFrame, failed: DataFrame, failures: int) -> DataFrame:
@@ -148,12 +166,19 @@ def without_files(rows: DataFrame, failed: DataFrame, failures: int) -> DataFram
 def dedup_first(parsed: DataFrame) -> DataFrame:
     """The first line of each event id, by file name and place in the file.
 
-    A minimum, not a window: copies are reduced before the shuffle, so an id
-    repeated any number of times never gathers in one task.
+    The first place is a minimum over narrow rows, which shrink before the shuffle.
+    Whole lines are only looked up by id and place, so that an id repeated any number
+    of times never gathers in one task. A place must belong to one line for good, as
+    in a written table.
     """
-    rest = [name for name in parsed.columns if name not in ("event_id", *PLACE)]
-    first = F.min(F.struct(*PLACE, *rest)).alias("first")
-    return parsed.groupBy("event_id").agg(first).select("event_id", "first.*")
+    first = parsed.groupBy("event_id").agg(F.min(F.struct(*PLACE)).alias("first_"))
+    first = first.select(F.col("event_id").alias("id_"), "first_.*").toDF(
+        "id_", *(f"{name}_" for name in PLACE)
+    )
+    same = F.col("event_id").eqNullSafe(F.col("id_"))
+    for name in PLACE:
+        same &= F.col(name) == F.col(f"{name}_")
+    return parsed.join(first, same, "left_semi")
 
 
 def drop_existing(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a table may have to be broadcast by hint.
@@ -14,6 +15,11 @@ MAX_BROADCAST_ROWS = 200_000
 _RUNS: dict[str, list[str]] = {}
 
 
+def escaped(path: str) -> str:
+    """A path as Spark's readers take it: they expand glob patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -57,9 +63,15 @@ def stored(df: DataFrame) -> DataFrame:
 
     Cuts the lineage, and survives the loss of executors.
     """
+    return stored_and_counted(df)[0]
+
+
+def stored_and_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows, which is counted while writing."""
     path = run_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(escaped(path)), rows.get["rows"]
 
 
 def cut(df: DataFrame) -> DataFrame:

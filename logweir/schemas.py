@@ -76,3 +76,23 @@ REJECTED_FILES = T.StructType(
         T.StructField("rejected_at", T.TimestampNTZType()),
     ]
 )
+
+# Batches that a compaction replaced by a new one.
+COMPACTIONS = T.StructType(
+    [
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("replaced_id", T.StringType()),
+        T.StructField("compacted_at", T.TimestampNTZType()),
+    ]
+)
+
+# Batches whose ids are in a generation of the id index.
+INDEXED_BATCHES = T.StructType(
+    [
+        T.StructField("generation", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
+
+EVENT_IDS = "event_id STRING, batch_id STRING"

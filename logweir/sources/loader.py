@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 
 from logweir.functions.time import naive_utc, ntz
 from logweir.operators.loading import (
+    PLACE,
     classify_files,
-    dedup_first,
     drop_existing,
-    failed_files,
+    failures,
+    id_table,
     parse_lines,
     without_files,
 )
 from logweir.operators.nested import create_views
-from logweir.plans.shared import cut
+from logweir.plans.shared import MAX_BROADCAST_ROWS, stored, stored_and_counted, within_bound
+from logweir.sources import id_index
 from logweir.sources.lake import (
     commit_files,
     read_events,
@@ -105,46 +107,70 @@ def load_events(
 def load_batch(
     lines: DataFrame, files: list[Row], lake_dir: str, moment: datetime
 ) -> tuple[int, int]:
-    """Load and commit the lines of ``files``; return files and events added."""
+    """Load and commit the lines of ``files``; return files and events added.
+
+    Lines are parsed once, into a table that fixes their places. What is decided about
+    them is decided on ids and places; whole lines are read again when they are written.
+    """
     spark = lines.sparkSession
     batch_id = f"{moment:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:12]}"
     loaded_at = ntz(moment).alias("loaded_at")
     # Narrow rows, hashed once. A file that was not read must not be committed.
-    described = cut(fingerprints(spark, files))
-    if described.count() != len(files):
+    described, found = stored_and_counted(fingerprints(spark, files))
+    if found != len(files):
         raise RuntimeError("some files could not be read back under their names")
-    # Parsed once; a lost executor's share is parsed again from the files.
-    parsed = parse_lines(lines).persist()
-    try:
-        ok = F.col("status") == "ok"
-        lines_ok, lines_bad, low, high = parsed.agg(
-            F.count_if(ok), F.count_if(~ok), F.min("event_id"), F.max("event_id")
-        ).first()
-        stored = read_events(spark, lake_dir)
-        if low is not None:
-            # Only these can be repeated. Ids mostly grow with time, so Parquet
-            # statistics spare a load of recent files most of the table.
-            stored = stored.filter(F.col("event_id").between(low, high))
-        good = parsed.filter(ok).drop("status")
-        failures = 0
-        if lines_bad:
-            failed = failed_files(parsed, stored)
-            failures = failed.count()
-            good = without_files(good, failed, failures)
-            described = described.join(
-                failed.withColumnRenamed("source_file", "file_path"),
-                "file_path",
-                "left_anti",
-            )
-            _reject(failed.select(F.col("source_file").alias("file_path")), INVALID, lake_dir, moment)
-        fresh = drop_existing(dedup_first(good), stored, lines_ok)
-        inserted = write_events(fresh.select("*", loaded_at), lake_dir, batch_id)
-    finally:
-        parsed.unpersist()
+    staged, total = stored_and_counted(parse_lines(lines))
+    ids = stored(id_table(staged))
+    copies, doubtful, low, high = ids.agg(
+        F.sum("copies"),
+        F.count_if(F.col("lost") | F.col("bad").isNotNull()),
+        F.min("event_id"),
+        F.max("event_id"),
+    ).first()
+    large = (copies or 0) > MAX_BROADCAST_ROWS
+    known = read_events(spark, lake_dir)
+    if low is not None:
+        # Only these can be repeated. Ids mostly grow with time, so Parquet
+        # statistics spare a load of recent files most of the table.
+        known = known.filter(F.col("event_id").between(low, high))
+    good = ids.filter(F.col("good").isNotNull())
+    refused = 0
+    if doubtful:
+        failed, refused = stored_and_counted(failures(ids, known))
+        good = without_files(good, failed, refused)
+        names = failed.withColumnRenamed("source_file", "file_path")
+        described = described.join(names, "file_path", "left_anti")
+        _reject(names, INVALID, lake_dir, moment)
+    first = good.groupBy("event_id").agg(F.min(F.struct("source_file", "good.*")).alias("place"))
+    first = first.select("event_id", "place.*")
+    if large:
+        fresh = id_index.drop_indexed(spark, lake_dir, first)
+    else:
+        fresh = drop_existing(first, known, copies or 0)
+    fresh, inserted = stored_and_counted(fresh)
+    rows = _at_places(staged, fresh, inserted, total).select("*", loaded_at)
+    if write_events(rows, lake_dir, batch_id) != inserted:
+        raise RuntimeError("the written events are not those that were chosen")
+    if large:
+        id_index.cover(spark, lake_dir, fresh, batch_id, moment)
     commit_files(
         described.select("*", loaded_at, F.lit(batch_id).alias("batch_id")), lake_dir
     )
-    return len(files) - failures, inserted
+    return len(files) - refused, inserted
+
+
+def _at_places(staged: DataFrame, chosen: DataFrame, count: int, total: int) -> DataFrame:
+    """The ``count`` chosen of all ``total`` lines.
+
+    Few chosen lines, or few others, are broadcast; in between, places are joined.
+    """
+    if count == total:
+        return staged
+    places = chosen.select(*PLACE)
+    if count > MAX_BROADCAST_ROWS and total - count <= MAX_BROADCAST_ROWS:
+        others = staged.select(*PLACE).join(places, PLACE, "left_anti")
+        return staged.join(F.broadcast(others), PLACE, "left_anti")
+    return staged.join(within_bound(places, count), PLACE, "left_semi")
 
 
 def _compare_listing(listing: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -187,7 +213,7 @@ def _report_modified(
 ) -> None:
     current = fingerprints(spark, files)
     compared = classify_files(current, read_manifest(spark, lake_dir))
-    modified = cut(compared.filter(F.col("status") == "modified").select("file_path"))
+    modified = stored(compared.filter(F.col("status") == "modified").select("file_path"))
     _reject(modified, MODIFIED, lake_dir, moment)
 
 

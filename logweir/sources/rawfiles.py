@@ -8,12 +8,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from logweir.functions.jsonlines import is_blank
 from logweir.functions.time import naive
+from logweir.plans.shared import escaped
 
 RAW_PATTERN = "*.jsonl"
 # Folders written by land_events, and the files in them.
@@ -28,25 +28,19 @@ LISTING = "path string, file_path string, file_size long, file_mtime timestamp_n
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 
 
-def escaped(path: str) -> str:
-    """A listed path as Spark's readers take it: they expand glob patterns."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def file_name() -> Column:
     """The base name as it is on disk; Spark's metadata has it URL-encoded."""
     encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return F.url_decode(encoded)
 
 
-def read_or_none(read, *args) -> DataFrame | None:
-    """The read, or ``None`` where its path does not exist."""
-    try:
-        return read(*args)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def read_or_none(read, path: str) -> DataFrame | None:
+    """``read(path)``, or ``None`` where nothing lies at a path or matches a pattern."""
+    spark = SparkSession.active()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(place)
+    return read(path) if found is not None and len(found) else None
 
 
 def _described() -> list[Column]:
@@ -60,17 +54,18 @@ def _described() -> list[Column]:
 def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """``path, file_path, file_size, file_mtime`` of each raw file.
 
-    ``file_path`` is the base name. Subfolders are not searched, except those
-    written by ``land_events``. No content is read. Spark's sources give no row
-    for a file of zero length; those are added from the listing.
+    ``file_path`` is the base name, ``raw_dir`` is taken literally. Subfolders are not
+    searched, except those written by ``land_events``. No content is read. Spark's
+    sources give no row for a file of zero length; those are added from the listing.
     """
+    folder = escaped(raw_dir)
     listings = []
-    for folder, pattern in [
-        (raw_dir, RAW_PATTERN),
-        (f"{raw_dir}/{LANDED_FOLDERS}", LANDED_PATTERN),
+    for place, pattern in [
+        (folder, RAW_PATTERN),
+        (f"{folder}/{LANDED_FOLDERS}", LANDED_PATTERN),
     ]:
         reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        found = read_or_none(reader.load, folder)
+        found = read_or_none(reader.load, place)
         if found is not None:
             filled = found.select("path", *_described())
             listings += [filled, *_empty_files(spark, found, filled)]
@@ -82,20 +77,23 @@ def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
 def _empty_files(
     spark: SparkSession, found: DataFrame, filled: DataFrame
 ) -> list[DataFrame]:
-    """Listed files that give no row. Spark has the listing on the driver anyway."""
-    names = [(url,) for url in found.inputFiles()]
-    if not names:
+    """Listed files that give no row.
+
+    Spark's reader holds the listing in the driver's JVM; it is compared there and in
+    tasks, and only the names of empty files come to Python.
+    """
+    jvm, names = spark._jvm, found._jdf.inputFiles()
+    if len(names) == filled.count():
         return []
-    listed = spark.createDataFrame(names, "url string")
+    listed = spark.range(1).select(F.explode(Column(jvm.org.apache.spark.sql.functions.lit(names))))
+    listed = listed.toDF("url")
     plain = F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B")))
     # The two write the root of a local path in different ways.
     plain = F.regexp_replace(plain, "^file:/+", "file:/")
-    silent = listed.withColumn("path", plain).join(filled, "path", "left_anti").collect()
-    if not silent:
-        return []
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    silent = listed.withColumn("path", plain).join(filled, "path", "left_anti")
+    conf = spark._jsc.hadoopConfiguration()
     rows = []
-    for row in silent:
+    for row in silent.toLocalIterator():
         path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.url))
         status = path.getFileSystem(conf).getFileStatus(path)
         rows.append((row.path, path.getName(), status.getLen(), status.getModificationTime()))

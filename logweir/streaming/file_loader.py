@@ -10,14 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.jsonlines import is_blank
 from logweir.functions.time import naive_utc
-from logweir.plans.shared import within_bound
+from logweir.plans.shared import escaped, within_bound
 from logweir.sources.lake import read_manifest
 from logweir.sources.loader import load_batch, retry_rejected
 from logweir.sources.rawfiles import (
     LANDED_FOLDERS,
     LANDED_PATTERN,
     RAW_PATTERN,
-    escaped,
     file_and_block,
     line_number,
 )
@@ -48,7 +47,7 @@ def stream_load(
         both = f"{{{RAW_PATTERN},{LANDED_FOLDERS}/{LANDED_PATTERN}}}"
         found = reader.text(f"{escaped(raw_dir)}/{both}")
     else:
-        found = reader.option("pathGlobFilter", pattern).text(raw_dir)
+        found = reader.option("pathGlobFilter", pattern).text(escaped(raw_dir))
     lines = (
         found.select(
             "value",

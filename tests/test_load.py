@@ -18,7 +18,7 @@ from logweir import (
 )
 from logweir.functions.jsonlines import split_response
 from logweir.schemas import EVENTS, LOADED_FILES
-from logweir.sources import rawfiles
+from logweir.sources import id_index, lake, rawfiles
 from logweir.sources.lake import read_rejected
 
 
@@ -305,6 +305,133 @@ def test_line_order_in_a_file_cut_into_blocks(folder):
     assert {r.event_type for r in folder.events().values()} == {f"T{i}" for i in range(400)}
 
 
+# --- folders, compaction, id index ------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["a[b]", "x{1,2} y?*"])
+def test_any_folder_name(spark, tmp_path, name):
+    for other in ("ab", "x1 yab"):
+        (tmp_path / other).mkdir()
+        (tmp_path / other / "f.jsonl").write_text(line(id=f"foreign {other}") + "\n")
+    raw, lake = tmp_path / name, str(tmp_path / f"lake {name}")
+    raw.mkdir()
+    (raw / "1 [b].jsonl").write_text(line(id="e1") + "\n")
+    (raw / "none.jsonl").write_text("")
+    land_events(texts_of(spark, line(id="e2")).coalesce(1), str(raw))
+    for expected in [(3, 3, 0, 2), (3, 0, 3, 0)]:
+        got = load_events(spark, str(raw), lake)
+        counts = (got.scanned_files, got.loaded_files, got.skipped_files, got.inserted_events)
+        assert counts == expected
+    assert {r.event_id for r in read_events(spark, lake).collect()} == {"e1", "e2"}
+
+
+def test_an_empty_file_is_found_without_listing_the_others(folder, monkeypatch):
+    for i in range(5):
+        folder.write(f"f{i}.jsonl", line(id=str(i)))
+    (folder.raw / "none %20.jsonl").write_text("")
+    listed = {r.file_path: r.file_size for r in rawfiles.list_files(folder.spark, str(folder.raw)).collect()}
+    assert len(listed) == 6 and listed["none %20.jsonl"] == 0
+
+
+def stored_ids(folder):
+    return sorted(r.event_id for r in read_events(folder.spark, folder.lake).collect())
+
+
+def load_many(folder, count):
+    for i in range(count):
+        folder.write(f"f{i}.jsonl", line(id=f"e{i}"), line(id="same"))
+        folder.load()
+
+
+def test_compaction_replaces_batches_at_once(folder, monkeypatch):
+    load_many(folder, 3)
+    before = {r.event_id: r.asDict() for r in folder.events().values()}
+    for row in before.values():
+        row.pop("batch_id")
+    with monkeypatch.context() as patch:
+        patch.setattr(lake, "COMPACTION_FOLDER", "elsewhere")
+        assert lake.compact_events(folder.spark, folder.lake) == 3
+    # Its commit did not arrive: the batches are as before.
+    assert len(set(r.batch_id for r in folder.events().values())) == 3
+    assert lake.compact_events(folder.spark, folder.lake, max_rows=1) == 2
+    assert len(set(r.batch_id for r in folder.events().values())) == 2
+    assert lake.compact_events(folder.spark, folder.lake) == 2
+    after = {r.event_id: r.asDict() for r in folder.events().values()}
+    assert len({row.pop("batch_id") for row in after.values()}) == 1
+    assert after == before
+    assert lake.compact_events(folder.spark, folder.lake) == 0
+    assert lake.remove_replaced(folder.spark, folder.lake, "2020-01-01") == 0
+    assert lake.remove_replaced(folder.spark, folder.lake, "2100-01-01") == 4
+    assert set(folder.events()) == set(before)
+    folder.write("new.jsonl", line(id="same"), line(id="e9"))
+    assert folder.load() == (4, 1, 3, 1)
+
+
+def test_large_loads_use_and_extend_the_index(folder, monkeypatch):
+    monkeypatch.setattr(loader, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(id_index, "BUCKETS", 3)
+    load_many(folder, 2)  # small: two lines each
+    assert id_index._newest(folder.spark, folder.lake) is None
+    folder.write("large.jsonl", *(line(id=i) for i in ("e0", "same", "a", "b", "b")))
+    assert folder.load()[3] == 2
+    index = id_index._newest(folder.spark, folder.lake)
+    assert index.buckets == 3
+    assert id_index._covered(folder.spark, folder.lake, index.generation).count() == 3
+    folder.write("later.jsonl", line(id="c"))
+    folder.load()
+    folder.write("z.jsonl", *(line(id=i) for i in ("a", "c", "e1", "d", "same")))
+    assert folder.load()[3] == 1
+    lake.compact_events(folder.spark, folder.lake)
+    id_index.rebuild(folder.spark, folder.lake, datetime(2100, 1, 1), buckets=5)
+    assert id_index._newest(folder.spark, folder.lake).buckets == 5
+    folder.write("zz.jsonl", *(line(id=i) for i in ("a", "d", "e1", "f", "same")))
+    assert folder.load()[3] == 1
+    assert stored_ids(folder) == sorted(["a", "b", "c", "d", "e0", "e1", "f", "same"])
+
+
+def test_ids_of_a_load_that_broke_do_not_count(folder, monkeypatch):
+    monkeypatch.setattr(loader, "MAX_BROADCAST_ROWS", 1)
+    folder.write("a.jsonl", *(line(id=str(i)) for i in range(5)))
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loader, "commit_files", crash)
+        with pytest.raises(RuntimeError):
+            folder.load()
+    assert folder.load() == (1, 1, 0, 5)
+    folder.write("b.jsonl", *(line(id=str(i)) for i in range(6)))
+    assert folder.load() == (2, 1, 1, 1)
+
+
+def test_the_index_is_not_shuffled(folder, monkeypatch):
+    monkeypatch.setattr(loader, "MAX_BROADCAST_ROWS", 1)
+    folder.write("a.jsonl", *(line(id=str(i)) for i in range(5)))
+    folder.load()
+    spark = folder.spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = spark.range(10).selectExpr("CAST(id AS STRING) AS event_id")
+        left = id_index.drop_indexed(spark, folder.lake, new)
+        text = left._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.event_id for r in left.collect()) == ["5", "6", "7", "8", "9"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(t for t in text.splitlines() if "logweir_ids_" in t)
+    depth = scan.index("FileScan")
+    assert "Bucketed: true" in scan
+    # From the scan up to its join, nothing is exchanged.
+    above = text.splitlines()[: text.splitlines().index(scan)]
+    for row in reversed(above):
+        at = len(row) - len(row.lstrip(" :+-"))
+        if at < depth:
+            depth = at
+            assert "Exchange" not in row
+            if "LeftAnti" in row:
+                break
+
+
 # --- landing -------------------------------------------------------------------
 
 
