@@ -42,6 +42,17 @@ def with_fields(df: DataFrame, **types: str) -> StructType:
     return StructType([*df.schema.fields, *more])
 
 
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns of the given names renamed, and its columns as they were.
+
+    For operators that replace older columns of these names, where the caller's own
+    are wanted back.
+    """
+    other = {c: f"aside_{i}_" for i, c in enumerate(df.columns) if c in names}
+    back = [F.col(f"`{other.get(c, c)}`").alias(c) for c in df.columns]
+    return df.withColumnsRenamed(other), back
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The rows of each key as one table, from batches in which equal keys adjoin.
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import sorted_runs, stored, table, with_fields, within_bound
+from logweir.llm.common import set_aside, sorted_runs, stored, table, with_fields, within_bound
 
 PERCENT = 90
 HASHES = 16  # minhashes of a set
@@ -558,7 +558,13 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the first by id (null last)."""
+    """``docs`` with one row of each component: the first by id (null last).
+
+    All columns keep their values, those named like a result of ``near_duplicates`` too.
+    Texts without words, null and empty, are components of their own and stay. Names
+    ending in ``_`` are reserved.
+    """
+    docs, back = set_aside(docs, ["n_shingles", "component_id"])
     found = near_duplicates(docs, percent, text_col=text_col)
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_"))
     first = (
@@ -566,9 +572,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, text_col: str = "text") ->
         .agg(F.min(place).alias("first_"))
         .select(F.col("first_.row_").alias("row_"))
     )
-    return found.join(first, "row_", "left_semi").select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    return found.join(first, "row_", "left_semi").select(*back)
 
 
 def op5_set_relations(spark, sf_dir: str) -> DataFrame:

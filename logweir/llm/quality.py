@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import fit_in_task, held_out, labelled_sample, table, with_fields
+from logweir.llm.common import fit_in_task, held_out, labelled_sample, set_aside, table, with_fields
 
 # Labelled documents of each class that the classifier is fitted on, at most.
 SAMPLE_PER_CLASS = 1_200
@@ -249,6 +249,12 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     return docs.mapInArrow(run, with_fields(docs, score="double", predicted="int"))
 
 
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that the model predicts to be of class 1, columns as they were."""
+    docs, back = set_aside(docs, ["score", "predicted"])
+    return score_quality(docs, model, text_col).filter("predicted = 1").select(*back)
+
+
 def op10_subword_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_quality(docs, table(spark, sf_dir, "labels"))

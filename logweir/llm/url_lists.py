@@ -93,7 +93,7 @@ class DigestArray:
             "keys": np.array([key for key, _, _ in items], "uint64"),
             "ends": np.cumsum([0, *map(len, blobs)], dtype="int64"),
             "text": np.frombuffer(b"".join(blobs) or b"\0", "uint8"),
-            "verdicts": np.array([v for _, _, v in items] or [""], "U16"),
+            "verdicts": np.array([v for _, _, v in items] or [""], "str"),
             "path_lengths": np.array(lengths, "int64"),
         }.items():
             np.save(os.path.join(folder, f"{name}.npy"), values)

@@ -495,8 +495,8 @@ def page_records(
     again = F.col("first_").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_"))
 
     def urn(page_id: Column) -> Column:
-        known = F.coalesce(page_id.cast("string"), F.lit(""))
-        return F.concat(F.lit("<urn:page:"), known, F.lit(">"))
+        known = F.concat(F.lit("<urn:page:"), F.url_encode(page_id.cast("string")), F.lit(">"))
+        return F.coalesce(known, F.lit("<urn:page>"))
 
     return page.join(within_bound(shared, shared.count()), "payload_digest", "left").select(
         F.when(again, "revisit").otherwise("response").alias("record_type"),
@@ -511,11 +511,20 @@ def page_records(
 
 
 def op7_warc_round_trip(spark, sf_dir: str) -> DataFrame:
-    """Payloads of responses are decoded and digested anew; a revisit's length and
-    digest stand in its headers."""
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def round_trip(pages: DataFrame) -> DataFrame:
+    """Archive ``pages`` and read them back: ``page_id, payload_bytes, payload_digest,
+    record_type, refers_to``, ids in the type they have.
+
+    Payloads of responses are decoded and digested anew; a revisit's length and
+    digest stand in its headers.
+    """
+    spark, id_type = pages.sparkSession, pages.schema["page_id"].dataType.simpleString()
     register(spark)
     folder = run_folder(spark)
-    page_records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(folder)
+    page_records(pages).write.format("warc").mode("append").save(folder)
 
     def archive(payload: bool) -> DataFrame:
         return spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
@@ -535,18 +544,21 @@ def op7_warc_round_trip(spark, sf_dir: str) -> DataFrame:
         heads.select("record_id", "refers_to", "record_type", "payload_bytes", "payload_digest")
     )
 
-    def number(name: str):
-        return F.regexp_extract(name, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
-
     return both.select(
-        number("record_id").alias("page_id"),
+        page_id_of("record_id", id_type).alias("page_id"),
         "payload_bytes",
         "payload_digest",
         "record_type",
-        number("refers_to").alias("refers_to"),
+        page_id_of("refers_to", id_type).alias("refers_to"),
     )
 
 
+def page_id_of(name: str, id_type: str) -> Column:
+    """The page id that a record's name stands for, in the ids' own type."""
+    text = F.url_decode(F.regexp_extract(name, r"^<urn:page:(.*)>$", 1))
+    return F.when(F.col(name) != "<urn:page>", text).cast(id_type)
+
+
 OP7_SQL = """
 WITH page AS (
     SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

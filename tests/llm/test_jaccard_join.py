@@ -3,6 +3,7 @@ import random
 import numpy as np
 import oracle
 import pytest
+from pyspark.sql import functions as F
 from helpers import documents, hard_documents, no_documents
 
 from logweir.llm import jaccard_join
@@ -100,3 +101,10 @@ def test_hard_rows(spark):
     assert near_duplicates(no_documents(spark)).count() == 0
     with pytest.raises(ValueError):
         near_duplicates(docs, 20)
+
+
+def test_columns_named_like_results_keep_their_values(spark):
+    docs = hard_documents(spark).withColumn("n_shingles", F.lit(7)).withColumn("component_id", F.lit("x"))
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {(r.n_shingles, r.component_id) for r in kept.collect()} == {(7, "x")}

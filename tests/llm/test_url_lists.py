@@ -47,3 +47,9 @@ def test_hard_rows(spark):
     assert got[5] == ("y.org", "/fr/", "org/fr/", "allow")
     assert judge_urls(split.limit(0), url_lists.RULES).count() == 0
     assert {r.verdict for r in judge_urls(split, []).collect()} == {"allow"}
+
+
+def test_verdicts_of_any_length(spark):
+    pages = spark.createDataFrame([(1, "a.net", "/")], "page_id long, host string, path string")
+    long = "block_this_source_for_ever"
+    assert judge_urls(pages, [("net", "/", long), ("org", "/", "x")]).first().verdict == long
