@@ -293,12 +293,12 @@ def _load_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five loads of five slices, made one batch; rows and batches afterwards."""
+    """Three loads of three slices, made one batch; rows and batches afterwards."""
     folder = _fresh_folder(spark)
     feed = raw_feed(spark, sf_dir, source_file=_daily_file(), stamped=False)
-    for part in range(5):
+    for part in range(3):
         land_events(
-            feed.filter(F.col("line") % 5 == part).select("value"),
+            feed.filter(F.col("line") % 3 == part).select("value"),
             f"{folder}/raw",
             max_records=5000,
             ingest_ts=STAMP,
@@ -659,7 +659,7 @@ def oracle_sql() -> dict[str, str]:
                    true AS all_counted, count(*) AS inserted_events FROM events
             UNION ALL SELECT 2, false, true, true, 0""",
         "load_end_to_end": _LOADED,
-        "load_compact": f"""SELECT *, 5 AS replaced, CAST(1 AS BIGINT) AS batches
+        "load_compact": f"""SELECT *, 3 AS replaced, CAST(1 AS BIGINT) AS batches
             FROM ({_LOADED})""",
         "load_id_index": """
             SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS created_at
