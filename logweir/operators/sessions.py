@@ -21,6 +21,9 @@ GAP = "30 minutes"
 
 ORDER = ["created_at", "event_id"]
 
+# Events of an actor's day, or hour, that are still sorted in one piece.
+MAX_ROWS_PER_RUN = 1_000_000
+
 _SO_FAR = (W.unboundedPreceding, W.currentRow)
 _EARLIER = (W.unboundedPreceding, -1)
 
@@ -45,19 +48,58 @@ def _starts(at: Column, before: Column, gap: str) -> Column:
     return F.when(before.isNull() | (at - before > interval(gap)), 1).otherwise(0)
 
 
-def sessionize(events: DataFrame, gap: str = GAP) -> DataFrame:
+def _slotted(events: DataFrame, max_rows: int) -> DataFrame:
+    """``events`` with ``run_``, their day, and ``slot_``, the first minute of the
+    stretch of it they are sorted in.
+
+    That is the whole day; an hour where an actor's day has more than ``max_rows``
+    events; a minute where the hour has more as well. Only such days are in the table
+    that is broadcast: one row per ``max_rows`` events at the most.
+    """
+    day, hour = F.col("created_at").cast("date"), F.hour("created_at")
+    hours = events.groupBy(
+        F.col("actor_login").alias("actor_"), day.alias("day_"), hour.alias("hour_")
+    ).agg(F.count(F.lit(1)).alias("n_"))
+    busy = (
+        hours.groupBy("actor_", "day_")
+        .agg(
+            F.sum("n_").alias("rows_"),
+            F.collect_set(F.when(F.col("n_") > max_rows, F.col("hour_"))).alias("busy_"),
+        )
+        .filter(F.col("rows_") > max_rows)
+        .drop("rows_")
+    )
+    slot = (
+        F.when(F.col("busy_").isNull(), 0)
+        .when(F.array_contains("busy_", hour), hour * 60 + F.minute("created_at"))
+        .otherwise(hour * 60)
+    )
+    same = (F.col("actor_login") == F.col("actor_")) & (F.col("run_") == F.col("day_"))
+    return (
+        events.withColumn("run_", day)
+        .join(F.broadcast(busy), same, "left")
+        .withColumn("slot_", slot)
+        .drop("actor_", "day_", "busy_")
+    )
+
+
+def sessionize(
+    events: DataFrame, gap: str = GAP, *, max_rows_per_run: int = MAX_ROWS_PER_RUN
+) -> DataFrame:
     """Events with ``event_sequence, prev_created_at, is_new_session, session_id``.
 
     Rows without an actor are dropped. One lazy plan for every size: windows run
-    over an actor's days, and each day gets three facts from the days before it,
-    so that no window has to sort a busy actor alone. Day numbers are few.
+    over an actor's days, busy days by hours or minutes, and each such run gets three
+    facts from the runs before it, so that no window has to sort a busy actor alone.
+    Runs are few.
 
     These are how many events they hold, how many sessions they open, and when
     the last one ends.
     """
+    positive("max_rows_per_run", max_rows_per_run)
     known = events.filter(F.col("actor_login").isNotNull())
-    runs = known.withColumn("run_", F.col("created_at").cast("date"))
-    in_run = W.partitionBy("actor_login", "run_").orderBy(*ORDER)
+    runs = _slotted(known, max_rows_per_run)
+    in_run = W.partitionBy("actor_login", "run_", "slot_").orderBy(*ORDER)
     local = runs.select(
         "*",
         F.row_number().over(in_run).alias("row_"),
@@ -68,20 +110,21 @@ def sessionize(events: DataFrame, gap: str = GAP) -> DataFrame:
             _starts(F.col("created_at"), F.col("lag_"), gap)
         ),
     )
-    edges = local.groupBy("actor_login", "run_").agg(
+    edges = local.groupBy("actor_login", "run_", "slot_").agg(
         F.count(F.lit(1)).alias("rows_"),
         F.sum("inner_").alias("breaks_"),
         F.min("created_at").alias("first_"),
         F.max("created_at").alias("last_"),
     )
-    # One row per day of an actor.
-    by_run = W.partitionBy("actor_login").orderBy("run_")
+    # One row per run of an actor.
+    by_run = W.partitionBy("actor_login").orderBy("run_", "slot_")
     before = (
         edges.withColumn("edge_", F.lag("last_").over(by_run))
         .withColumn("opens_", _starts(F.col("first_"), F.col("edge_"), gap))
         .select(
             "actor_login",
             "run_",
+            "slot_",
             "edge_",
             "opens_",
             F.coalesce(
@@ -99,7 +142,10 @@ def sessionize(events: DataFrame, gap: str = GAP) -> DataFrame:
     # Events without a time have no day; they come first, as in any ascending sort.
     same = F.col("actor_login") == F.col("actor_")
     same &= F.col("run_").eqNullSafe(F.col("at_"))
-    before = before.withColumnsRenamed({"actor_login": "actor_", "run_": "at_"})
+    same &= F.col("slot_").eqNullSafe(F.col("minute_"))
+    before = before.withColumnsRenamed(
+        {"actor_login": "actor_", "run_": "at_", "slot_": "minute_"}
+    )
     return local.join(before, same).select(
         *events.columns,
         (F.col("rows_before_") + F.col("row_")).alias("event_sequence"),

@@ -28,6 +28,13 @@ from logweir.schemas import (
 from logweir.sources.rawfiles import read_or_none
 
 
+# Let a search for one repository or event skip row groups that lack it; sized to fit.
+BLOOM_FILTERS = {
+    "parquet.bloom.filter.enabled#repo_name": "true",
+    "parquet.bloom.filter.enabled#event_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+
 # Each file of it is one swap.
 COMPACTION_FOLDER = "compactions"
 
@@ -94,6 +101,7 @@ def write_events(events: DataFrame, lake_dir: str, batch_id: str) -> int:
         .sortWithinPartitions("created_date", "created_at")
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.partitionBy("created_date")
+        .options(**BLOOM_FILTERS)
         .parquet(path)
     )
     return written.get["rows"]

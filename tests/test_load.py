@@ -432,6 +432,25 @@ def test_the_index_is_not_shuffled(folder, monkeypatch):
                 break
 
 
+def test_stored_files_have_bloom_filters(folder):
+    folder.write("a.jsonl", *(line(id=str(i), repo={"id": 1, "name": f"r{i}"}) for i in range(50)))
+    folder.load()
+    spark = folder.spark
+    (path,) = (p for p in read_events(spark, folder.lake).inputFiles() if "/events/" in p)
+    jvm = spark._jvm
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(
+            jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+        )
+    )
+    try:
+        columns = reader.getFooter().getBlocks().get(0).getColumns()
+        filtered = {c.getPath().toDotString() for c in columns if c.getBloomFilterOffset() > 0}
+    finally:
+        reader.close()
+    assert filtered == {"event_id", "repo_name"}
+
+
 # --- landing -------------------------------------------------------------------
 
 

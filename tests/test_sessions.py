@@ -3,9 +3,11 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import N
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from logweir import sessionize, user_sessions
-from logweir.operators.sessions import session_totals
+from logweir.operators.sessions import _slotted, session_totals
 
 COLUMNS = [
     "actor_login",
@@ -159,3 +161,32 @@ def test_look_back_follows_the_gap(events):
     )
     (session,) = user_sessions(rows, as_of=N, gap="2 hours").collect()
     assert session.events_in_session == 2
+
+
+@pytest.mark.parametrize("bound", [1000, 20, 3])
+def test_a_busy_day_is_sorted_in_pieces(events, bound):
+    """One actor's day over the bound, by hours and minutes, and days under it."""
+    random.seed(bound)
+    rows = [
+        (f"e{i}", "busy", "r", N + timedelta(seconds=random.randrange(40) * 97 + (i % 3) * 86_400))
+        for i in range(90)
+    ]
+    rows += [(f"x{i}", "calm", "r", N + timedelta(minutes=25 * i)) for i in range(6)]
+    rows += [("n", "calm", "r", None), ("m", "calm", "r", None)]
+    table = events(*rows)
+    columns = ["event_id", "event_sequence", "prev_created_at", "is_new_session", "session_id"]
+    got = sessionize(table, max_rows_per_run=bound).select(*columns).collect()
+    whole = W.partitionBy("actor_login").orderBy("created_at", "event_id")
+    before = F.lag("created_at").over(whole)
+    new = before.isNull() | (F.col("created_at") - before > F.expr("INTERVAL 30 MINUTES"))
+    expected = (
+        table.withColumn("event_sequence", F.row_number().over(whole).cast("long"))
+        .withColumn("prev_created_at", before)
+        .withColumn("is_new_session", F.when(new, 1).otherwise(0))
+        .withColumn("session_id", F.sum("is_new_session").over(whole))
+        .filter("created_at IS NOT NULL")
+    )
+    timed = [r for r in got if r.event_id not in ("n", "m")]
+    assert sorted(map(tuple, timed)) == sorted(map(tuple, expected.select(*columns).collect()))
+    pieces = _slotted(table, bound).filter("actor_login = 'busy'").select("run_", "slot_").distinct()
+    assert (pieces.count() == 3) == (bound == 1000)
