@@ -29,7 +29,11 @@ from logweir.sources.sample_tables import (  # noqa: E402
     raw_feed,
     sample_table,
 )
-from logweir.streaming import stream_load, stream_sessions  # noqa: E402
+from logweir.streaming import (  # noqa: E402
+    stream_load,
+    stream_sessions,
+    write_numbered_sessions,
+)
 
 AS_OF = "2024-01-31T00:00:00"
 PUSH = "purchase"
@@ -360,6 +364,19 @@ def _stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+def _stream_numbered_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions with their numbers, in append mode; open ones are not given."""
+    folder = _fresh_folder(spark)
+    table = (
+        spark.readStream.schema(SCHEMA)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir)
+    )
+    places = [f"{folder}/{name}" for name in ("sessions", "late", "checkpoint")]
+    write_numbered_sessions(adapt(table), *places).awaitTermination()
+    return spark.read.parquet(places[0]).drop("batch")
+
+
 def _llm() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and SQL of the optional subpackage; nothing where it is absent."""
     try:
@@ -423,6 +440,7 @@ def queries() -> dict[str, Query]:
         "load_odd_names": _load_odd_names,
         "stream_load": _stream_load,
         "stream_sessions": _stream_sessions,
+        "stream_numbered_sessions": _stream_numbered_sessions,
     }
 
 
@@ -685,4 +703,24 @@ def oracle_sql() -> dict[str, str]:
                    max(created_at) AS session_end_at,
                    count(*) AS events_in_session
             FROM ids GROUP BY actor_login, session""",
+        "stream_numbered_sessions": f"""{_WITH_EVENTS},
+            sequenced AS (
+                SELECT *, lag(created_at) OVER (
+                    PARTITION BY actor_login ORDER BY created_at, event_id
+                ) AS before
+                FROM e
+            ),
+            ids AS (
+                SELECT *, CAST(sum(CASE WHEN created_at - before <= INTERVAL 30 MINUTE
+                                        THEN 0 ELSE 1 END) OVER (
+                    PARTITION BY actor_login ORDER BY created_at, event_id
+                ) AS BIGINT) AS session_id
+                FROM sequenced
+            )
+            SELECT actor_login, session_id,
+                   min(created_at) AS session_start_at,
+                   max(created_at) AS session_end_at,
+                   count(*) AS events_in_session
+            FROM ids GROUP BY actor_login, session_id
+            HAVING max(created_at) + INTERVAL 40 MINUTE < (SELECT max(created_at) FROM e)""",
     }

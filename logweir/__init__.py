@@ -22,7 +22,12 @@ from logweir.sources import (
     read_events,
     read_manifest,
 )
-from logweir.streaming import stream_load, stream_sessions
+from logweir.streaming import (
+    numbered_sessions,
+    stream_load,
+    stream_sessions,
+    write_numbered_sessions,
+)
 
 __all__ = [
     "LoadResult",
@@ -34,6 +39,7 @@ __all__ = [
     "land_events",
     "load_events",
     "most_active_users",
+    "numbered_sessions",
     "read_events",
     "read_manifest",
     "recent_repo_events",
@@ -45,4 +51,5 @@ __all__ = [
     "stream_sessions",
     "top_repos",
     "user_sessions",
+    "write_numbered_sessions",
 ]

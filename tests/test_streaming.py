@@ -6,6 +6,7 @@ from test_parse import BROKEN, line
 
 from logweir import land_events, read_events, read_manifest, stream_load, stream_sessions
 from logweir.operators.sessions import session_totals
+from logweir.streaming.numbered import LATE, SESSION, write_numbered_sessions
 
 
 def run(folder, path, **options):
@@ -137,3 +138,79 @@ def test_mended_file_loads_when_the_stream_starts_again(spark, tmp_path):
     assert [r.event_id for r in read_events(spark, lake).collect()] == ["e1"]
     stream_load(spark, str(raw), lake, state).awaitTermination()
     assert read_events(spark, lake).count() == 1
+
+
+class Numbered:
+    """A folder of events that is streamed a step at a time."""
+
+    def __init__(self, spark, events, path):
+        self.spark, self.events, self.path, self.schema = spark, events, path, events().schema
+
+    def put(self, name, *rows):
+        self.events(*rows).coalesce(1).write.parquet(str(self.path / "in" / name))
+
+    def advance(self):
+        stream = (
+            self.spark.readStream.schema(self.schema)
+            .option("recursiveFileLookup", "true")
+            .parquet(str(self.path / "in"))
+        )
+        places = [str(self.path / name) for name in ("out", "late", "checkpoint")]
+        write_numbered_sessions(stream, *places).awaitTermination()
+
+    def read(self, name, columns):
+        found = self.spark.read.option("mergeSchema", "true").parquet(str(self.path / name))
+        return sorted(map(tuple, found.select(*columns).collect()))
+
+
+def test_numbered_sessions_equal_batch_and_number_on(spark, events, tmp_path, any_zone):
+    times = [0, 10, 40, 71, 101, 101, 300]
+    start = datetime(2024, 3, 10, 0, 45)
+    rows = [
+        (f"{actor}{i}", actor, "r", start + timedelta(minutes=m))
+        for actor in ("ann", "bob", None)
+        for i, m in enumerate(times)
+    ]
+    folder = Numbered(spark, events, tmp_path)
+    end = start + timedelta(minutes=2000)
+    # An order within a micro-batch does not matter.
+    folder.put("one", *rows[:4][::-1], *rows[7:11])
+    folder.advance()
+    folder.put("two", *rows[4:7], *rows[11:])
+    folder.advance()
+    folder.put("three", ("end", "zoe", "r", end))
+    folder.advance()
+    batch = session_totals(events(*rows)).select(*SESSION)
+    assert folder.read("out", SESSION) == sorted(map(tuple, batch.collect()))
+    assert folder.read("late", LATE) == []
+    # Numbers go on after a long pause, and nothing comes out twice.
+    folder.put("four", ("a8", "ann", "r", end), ("z9", "zoe", "r", end + timedelta(days=1)))
+    folder.advance()
+    assert [row[1] for row in folder.read("out", SESSION) if row[0] == "ann"] == [1, 2, 3, 4]
+    assert [row[1] for row in folder.read("out", SESSION) if row[0] == "zoe"] == [1]
+
+
+def test_late_rows_come_out_beside_and_change_nothing(spark, events, tmp_path):
+    folder = Numbered(spark, events, tmp_path)
+    folder.put("one", ("e1", "ann", "r", N), ("e2", "bob", "r", N + timedelta(hours=5)))
+    folder.advance()
+    assert [row[:2] for row in folder.read("out", SESSION)] == [("ann", 1)]
+    # Older than the watermark, then at it, within the lateness, and without a time.
+    mark = N + timedelta(hours=4, minutes=50)
+    folder.put(
+        "two",
+        ("e3", "ann", "r", N + timedelta(minutes=1)),
+        ("e4", "bob", "r", mark - timedelta(microseconds=1000)),
+        ("e5", "bob", "r", mark),
+        ("e6", "bob", "r", None),
+        ("e7", "eve", "r", N + timedelta(days=1)),
+    )
+    folder.advance()
+    late = folder.read("late", LATE)
+    assert [row[1] for row in late] == ["e3", "e4"]
+    assert late[0] == ("ann", "e3", N + timedelta(minutes=1))
+    found = folder.read("out", SESSION)
+    assert found == [
+        ("ann", 1, N, N, 1),
+        ("bob", 1, mark, N + timedelta(hours=5), 2),
+    ]
