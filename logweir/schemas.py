@@ -77,6 +77,15 @@ REJECTED_FILES = T.StructType(
     ]
 )
 
+# Landed folders that were loaded whole.
+LANDED_FOLDERS = T.StructType(
+    [
+        T.StructField("folder", T.StringType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("recorded_at", T.TimestampNTZType()),
+    ]
+)
+
 # Batches that a compaction replaced by a new one.
 COMPACTIONS = T.StructType(
     [

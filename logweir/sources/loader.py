@@ -25,7 +25,7 @@ from logweir.operators.loading import (
 )
 from logweir.operators.nested import create_views
 from logweir.plans.shared import MAX_BROADCAST_ROWS, stored, stored_and_counted, within_bound
-from logweir.sources import id_index
+from logweir.sources import id_index, landed
 from logweir.sources.lake import (
     commit_files,
     read_events,
@@ -71,14 +71,19 @@ def load_events(
 
     A known file is skipped whether or not it changed. One whose size or time
     changed is hashed again and reported if its content differs;
-    ``verify_known`` hashes every known file. ``views`` registers the tables
-    and the nested views in the session, as they are after this load.
+    ``verify_known`` hashes every known file. Landed folders that were loaded whole
+    are counted by the ledger and not listed again, unless ``verify_known`` is set.
+    ``views`` registers the tables and the nested views in the session, as they are
+    after this load.
     """
     started = time.perf_counter()
     moment = naive_utc(load_ts)
-    seen = _compare_listing(list_files(spark, raw_dir), read_manifest(spark, lake_dir))
+    folders = landed.look_up(spark, raw_dir, lake_dir, all_folders=verify_known)
+    listing = list_files(spark, raw_dir, folders.to_list)
+    seen = _compare_listing(listing, read_manifest(spark, lake_dir))
     known = F.col("known_size").isNotNull()
-    scanned, skipped = seen.agg(F.count(F.lit(1)), F.count_if(known)).first()
+    counts = seen.agg(F.count(F.lit(1)), F.count_if(known)).first()
+    scanned, skipped = (count + folders.files_loaded for count in counts)
 
     touched = (F.col("known_size") != F.col("file_size")) | (
         F.col("known_mtime") != F.col("file_mtime")
@@ -96,6 +101,7 @@ def load_events(
             added_files, added_events = load_batch(lines, chunk, lake_dir, moment)
             loaded += added_files
             inserted += added_events
+    landed.record(spark, listing, folders, lake_dir, moment)
 
     if views:
         create_views(read_events(spark, lake_dir))

@@ -51,21 +51,27 @@ def _described() -> list[Column]:
     ]
 
 
-def list_files(spark: SparkSession, raw_dir: str) -> DataFrame:
+def list_files(
+    spark: SparkSession, raw_dir: str, landed: list[str] | None = None
+) -> DataFrame:
     """``path, file_path, file_size, file_mtime`` of each raw file.
 
     ``file_path`` is the base name, ``raw_dir`` is taken literally. Subfolders are not
-    searched, except those written by ``land_events``. No content is read. Spark's
+    searched, except those written by ``land_events``: all of them, or only the
+    ``landed`` ones. Many folders are listed by tasks. No content is read. Spark's
     sources give no row for a file of zero length; those are added from the listing.
     """
     folder = escaped(raw_dir)
+
+    def read(pattern: str):
+        return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load
+
+    if landed is None:
+        inner = read_or_none(read(LANDED_PATTERN), f"{folder}/{LANDED_FOLDERS}")
+    else:
+        inner = read(LANDED_PATTERN)(list(map(escaped, landed))) if landed else None
     listings = []
-    for place, pattern in [
-        (folder, RAW_PATTERN),
-        (f"{folder}/{LANDED_FOLDERS}", LANDED_PATTERN),
-    ]:
-        reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-        found = read_or_none(reader.load, place)
+    for found in (read_or_none(read(RAW_PATTERN), folder), inner):
         if found is not None:
             filled = found.select("path", *_described())
             listings += [filled, *_empty_files(spark, found, filled)]

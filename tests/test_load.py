@@ -2,6 +2,7 @@ import hashlib
 import json
 import logging
 import os
+import shutil
 from datetime import datetime
 
 import pytest
@@ -18,7 +19,7 @@ from logweir import (
 )
 from logweir.functions.jsonlines import split_response
 from logweir.schemas import EVENTS, LOADED_FILES
-from logweir.sources import id_index, lake, rawfiles
+from logweir.sources import id_index, lake, landed, rawfiles
 from logweir.sources.lake import read_rejected
 
 
@@ -333,6 +334,44 @@ def test_an_empty_file_is_found_without_listing_the_others(folder, monkeypatch):
     assert len(listed) == 6 and listed["none %20.jsonl"] == 0
 
 
+def test_folders_loaded_whole_are_not_listed_again(folder, monkeypatch):
+    listed = []
+
+    def count(spark, raw_dir, folders=None):
+        listing = rawfiles.list_files(spark, raw_dir, folders)
+        listed.append(listing.count())
+        return listing
+
+    monkeypatch.setattr(loader, "list_files", count)
+    for start in (0, 10):
+        rows = [line(id=f"e{start + i}") for i in range(4)]
+        where = land_events(texts_of(folder.spark, *rows).coalesce(1), str(folder.raw), max_records=1)
+    folder.write("own.jsonl", line(id="own"))
+    assert folder.load() == (9, 9, 0, 9) and listed.pop() == 9
+    ledger = landed.read_ledger(folder.spark, folder.lake)
+    assert sorted(row.files for row in ledger.collect()) == [4, 4]
+    assert folder.load() == (9, 0, 9, 0) and listed.pop() == 1
+    # A new folder is listed alone; one with a refused file again and again.
+    bad = land_events(texts_of(folder.spark, line(id="e20")).coalesce(1), str(folder.raw))
+    with open(os.path.join(bad, "part-broken.txt"), "w") as file:
+        file.write(BROKEN + "\n")
+    assert folder.load() == (11, 1, 9, 1) and listed.pop() == 3
+    assert folder.load() == (11, 0, 10, 0) and listed.pop() == 3
+    with open(os.path.join(bad, "part-broken.txt"), "w") as file:
+        file.write(line(id="e21") + "\n")
+    assert folder.load() == (11, 1, 10, 1) and listed.pop() == 3
+    assert folder.load(verify_known=True) == (11, 0, 11, 0) and listed.pop() == 11
+    assert folder.load() == (11, 0, 11, 0) and listed.pop() == 1
+    # A folder that is gone no longer counts; one still being written is not entered.
+    shutil.rmtree(where)
+    unfinished = land_events(texts_of(folder.spark, line(id="e30")).coalesce(1), str(folder.raw))
+    os.remove(os.path.join(unfinished, "_SUCCESS"))
+    assert folder.load() == (8, 1, 7, 1) and listed.pop() == 2
+    with open(os.path.join(unfinished, "part-more.txt"), "w") as file:
+        file.write(line(id="e31") + "\n")
+    assert folder.load() == (9, 1, 8, 1) and listed.pop() == 3
+
+
 def stored_ids(folder):
     return sorted(r.event_id for r in read_events(folder.spark, folder.lake).collect())
 
