@@ -13,8 +13,8 @@ document its component, so links need not be listed pair by pair:
 * Across families there is an index from prefix tokens to sets. Tokens are ordered
   rare first by a fixed-size sketch of their counts. A token's list is cut into
   blocks by position; block pairs whose positions and sizes leave too little room
-  for the overlap are skipped whole, and so are sets of one family. Lists of very
-  frequent tokens are dealt over several tasks. Pairs that share enough of their
+  for the overlap are skipped whole, and so are sets of one family. Long lists, by
+  their real lengths, are dealt over several tasks. Pairs that share enough of their
   prefixes are verified on the whole texts.
 
 The order, the families and the blocks are all exact devices: no link is lost. Two
@@ -32,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.llm.common import set_aside, sorted_runs, stored, table, with_fields, within_bound
+from logweir.llm.skew import MAX_HOT_KEYS, join_dealt
 
 PERCENT = 90
 HASHES = 16  # minhashes of a set
 ROUNDS = 4  # of family building, each by another minhash
 SKETCH = 1 << 22  # counters of the sketch that orders tokens
+STEP = 256  # a small counter of a task is told at random, as this
 SHARED = 3  # by so many tokens prefixes are longer than one shared token needs
 BLOCK = 512  # sets of a block
 BLOCK_TOKENS = 400_000  # and their tokens, about
@@ -97,6 +99,22 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view("int64")
 
 
+def told_counters(counters: np.ndarray, seen: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets a task reports, and their counts, from the ``seen`` tokens it counted.
+
+    What stands out of the task's noise is told as it is. A smaller counter c is told as
+    ``STEP`` with probability c / ``STEP``: right on average, so that a token rare in
+    each task and frequent over all of them is seen, and few are told.
+    """
+    noise = 3 + 3 * seen // SKETCH
+    step = max(STEP, noise + 1)
+    used = np.flatnonzero(counters)
+    own = counters[used].astype("int64")
+    drawn = np.random.default_rng().random(len(used)) * step < own
+    wanted = (own > noise) | drawn
+    return used[wanted], np.where(own > noise, own, step)[wanted]
+
+
 def prepared(docs: DataFrame, text_col: str) -> DataFrame:
     """``docs``, stored, with row_, n_, digest_ and minhashes_; further rows, with
     null row_, hold each task's frequent sketch counters."""
@@ -136,8 +154,7 @@ def prepared(docs: DataFrame, text_col: str) -> DataFrame:
                     names,
                 )
         if schema is not None:
-            # Only what stands out of this task's own noise can matter.
-            often = np.flatnonzero(counters > 3 + 3 * seen // SKETCH)
+            often, told = told_counters(counters, seen)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[pa.nulls(1, field.type) for field in schema],
@@ -145,7 +162,7 @@ def prepared(docs: DataFrame, text_col: str) -> DataFrame:
                     pa.nulls(1, pa.binary()),
                     pa.nulls(1, longs),
                     pa.array([often.tolist()], longs),
-                    pa.array([counters[often].tolist()], longs),
+                    pa.array([told.tolist()], longs),
                 ],
                 names,
             )
@@ -167,7 +184,9 @@ def sketch(rows: DataFrame) -> np.ndarray:
         F.sum("x.counts_").alias("n")
     )
     counts = np.zeros(SKETCH, "int64")
-    found = total.filter("n > 8").toArrow()
+    mean = (total.agg(F.sum("n")).first()[0] or 0) // SKETCH
+    # Twice the mean is noise of hashing in a large corpus.
+    found = total.filter(F.col("n") > max(8, 2 * mean)).toArrow()
     counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return counts
 
@@ -297,38 +316,51 @@ def _pairs(edges, names: tuple[str, ...] = ("a", "b")) -> pa.RecordBatch:
 
 
 def prefixes(rows: DataFrame, text_col: str, counts: np.ndarray, percent: int) -> DataFrame:
-    """(set_, tokens, parts): each set's rarest tokens, and over how many tasks the
-    list of a token is dealt."""
-    shipped = rows.sparkSession.sparkContext.broadcast(counts.astype("uint32"))
-    # Counters below this are noise of hashing; no list of theirs can be long.
-    floor = LIST + 4 * int(counts.sum() // SKETCH)
+    """(set_, tokens): each set's rarest tokens, rarest first."""
+    # Only the order counts; above the greatest number all are alike.
+    small = np.minimum(counts, np.iinfo("uint32").max).astype("uint32")
+    shipped = rows.sparkSession.sparkContext.broadcast(small)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = shipped.value
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                tokens, parts = [], []
+                tokens = []
                 for text in batch.column(1):
                     own = shingles(text.as_py())
                     n = len(own)
-                    # Signed, so that the division below may round up.
-                    often = counters[(own % np.uint64(SKETCH)).astype("int64")].astype("int64")
+                    often = counters[(own % np.uint64(SKETCH)).astype("int64")]
                     length = min(n, n - least_partner(n, percent) + SHARED)
                     first = np.lexsort((own, often))[:length]
                     tokens.append(_signed(own[first]))
-                    dealt = np.where(often[first] > floor, -(-often[first] // LIST), 1)
-                    parts.append(dealt.astype("int32"))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(tokens), pa.array(parts)],
-                    ["set_", "tokens", "parts"],
+                    [batch.column(0), pa.array(tokens, pa.list_(pa.int64()))],
+                    ["set_", "tokens"],
                 )
 
     return rows.select(F.col("row_").alias("set_"), text_col).mapInArrow(
-        run, "set_ long, tokens array<long>, parts array<int>"
+        run, "set_ long, tokens array<long>"
     )
 
 
+def with_parts(postings: DataFrame, total: int) -> DataFrame:
+    """``postings``, of at most ``total`` rows, with ``parts``: over how many tasks the
+    list of their ``token`` is dealt, by the number of its entries."""
+    lengths = stored(
+        postings.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("entries"))
+        .filter(F.col("entries") > LIST)
+    )
+    if total <= LIST * MAX_HOT_KEYS:
+        # So there are at most MAX_HOT_KEYS such tokens.
+        found = postings.join(F.broadcast(lengths), "token", "left")
+    else:
+        found = join_dealt(postings, lengths, "token", total, "entries", how="left")
+    parts = F.ceil(F.coalesce("entries", F.lit(1)) / F.lit(LIST)).cast("int")
+    return found.withColumn("parts", parts).drop("entries")
+
+
 def list_pairs(
     sets: np.ndarray, family: np.ndarray, size: np.ndarray, place: np.ndarray,
     chunk: np.ndarray, percent: int,
@@ -385,21 +417,22 @@ def candidates(
     sets = classes.select("set_", "n_").join(family, "set_", "left").select(
         "set_", F.col("n_").cast("int").alias("n"), F.coalesce("family_", "set_").alias("family")
     )
-    postings = prefixes(rows, text_col, counts, percent).join(sets, "set_")
-    chunk = F.pmod(F.xxhash64("set_"), F.col("x.parts")).cast("int")
-    units = F.when(F.col("x.parts") == 1, F.array(F.lit(0))).otherwise(
+    held = stored(prefixes(rows, text_col, counts, percent).join(sets, "set_"))
+    length = F.expr(f"least(n_, n_ - ({percent} * n_ + 99) div 100 + {SHARED})")
+    total = classes.agg(F.sum(length)).first()[0] or 0
+    postings = held.select("set_", "n", "family", F.posexplode("tokens").alias("place", "token"))
+    chunk = F.pmod(F.xxhash64("set_"), F.col("parts")).cast("int")
+    units = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(
         F.transform(
-            F.sequence(F.lit(0), F.col("x.parts") - 1),
-            lambda j: F.least(F.col("chunk"), j) * F.col("x.parts") + F.greatest(F.col("chunk"), j),
+            F.sequence(F.lit(0), F.col("parts") - 1),
+            lambda j: F.least(F.col("chunk"), j) * F.col("parts") + F.greatest(F.col("chunk"), j),
         )
     )
     dealt = (
-        postings.select(
-            "set_", "n", "family", F.posexplode(F.arrays_zip("tokens", "parts")).alias("place", "x")
-        )
+        with_parts(postings, total)
         .withColumn("chunk", chunk)
         .select("*", F.explode(units).alias("unit"))
-        .select(F.xxhash64("x.tokens", "unit").alias("list"), "set_", "n", "family", "place", "chunk")
+        .select(F.xxhash64("token", "unit").alias("list"), "set_", "n", "family", "place", "chunk")
         .repartition("list")
         .sortWithinPartitions("list")
     )

@@ -11,8 +11,10 @@ MAX_HOT_KEYS = 50_000
 MIN_HOT_ROWS = 1_000
 
 
-def join_dealt(rows: DataFrame, facts: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
-    """Inner join of ``rows`` with ``facts``, one row per key with the key's row count.
+def join_dealt(
+    rows: DataFrame, facts: DataFrame, key: str, total: int, n: str = "n", how: str = "inner"
+) -> DataFrame:
+    """Inner or left join of ``rows`` with ``facts``, one row per key with the key's row count.
 
     ``total`` bounds the rows. Keys with more than a 50 000th of them (and more than
     1000) are at most 50 000; their facts are broadcast and their rows stay where they
@@ -23,4 +25,4 @@ def join_dealt(rows: DataFrame, facts: DataFrame, key: str, total: int, n: str =
     hot = F.broadcast(facts.filter(F.col(n) > bound))
     frequent = rows.join(hot, key)
     others = rows.join(hot.select(key), key, "left_anti")
-    return frequent.unionByName(others.join(facts.filter(F.col(n) <= bound), key))
+    return frequent.unionByName(others.join(facts.filter(F.col(n) <= bound), key, how))

@@ -108,3 +108,28 @@ def test_columns_named_like_results_keep_their_values(spark):
     kept = keep_one(docs)
     assert kept.columns == docs.columns
     assert {(r.n_shingles, r.component_id) for r in kept.collect()} == {(7, "x")}
+
+
+def test_a_token_rare_in_each_task_is_counted_and_its_list_dealt(spark, monkeypatch):
+    """The same shingle in every row, three times in each of 100 tasks."""
+    monkeypatch.setattr(jaccard_join, "STEP", 16)
+    monkeypatch.setattr(jaccard_join, "LIST", 20)
+    rows = [(i, f"all have this {i} {i}b {i}c", "a") for i in range(300)]
+    docs = documents(spark, rows).repartition(100)
+    counts = jaccard_join.sketch(jaccard_join.prepared(docs, "text"))
+    everywhere = int(jaccard_join.shingles("all have this")[0] % np.uint64(jaccard_join.SKETCH))
+    assert 150 < counts[everywhere] < 450  # four standard errors and more
+    postings = docs.select(F.col("doc_id").alias("set_"), F.explode(F.array(F.lit(7), "doc_id")).alias("token"))
+    for most in (50_000, 1):  # the long lists by broadcast, and by both ways
+        monkeypatch.setattr(jaccard_join, "MAX_HOT_KEYS", most)
+        got = jaccard_join.with_parts(postings, 600).groupBy("token").agg(
+            F.min("parts").alias("least"), F.max("parts").alias("most"), F.count("*").alias("n")
+        )
+        parts = {r.token: (r.least, r.most, r.n) for r in got.collect()}
+        assert parts.pop(7) == (16, 16, 301) and set(parts.values()) == {(1, 1, 1)}
+    got = near_duplicates(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_force(rows, 90)
+    # No two of them link; with a lower bar, dealt lists find those that do.
+    near = [(i, f"all have this and that too {'x' * (i % 3)}", "a") for i in range(90)]
+    got = near_duplicates(documents(spark, near).repartition(30), 60).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_force(near, 60)
