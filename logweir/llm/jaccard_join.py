@@ -7,9 +7,10 @@ document its component, so links need not be listed pair by pair:
 * Equal sets form one class, found by a 128-bit digest. Only classes are joined.
 * Classes that agree in half of 16 minhashes form families. Families decide only
   about the way a pair is tested; any grouping gives the same links.
-* Inside a family, sets are held as their differences from a pivot set. From the
-  pivot's own answers and these short differences all answers of the family follow,
-  in blocks of bounded size, and a spanning forest of the links goes out.
+* Inside a family, each set is compared with the family's pivot and then held as its
+  difference from it. Sets that link with the pivot are one component at once, however
+  many they are: no pair of them is tested. Only the others meet the rest of their
+  family, as differences, in blocks of bounded size.
 * Across families there is an index from prefix tokens to sets. Tokens are ordered
   rare first by a fixed-size sketch of their counts. A token's list is cut into
   blocks by position; block pairs whose positions and sizes leave too little room
@@ -202,7 +203,7 @@ def families(classes: DataFrame) -> DataFrame:
         lambda total, one: total + one,
     )
     roots = classes.filter("n_ > 0").select("set_", "minhashes_")
-    merged = None
+    total, merged = roots.count(), None
     for j in range(ROUNDS):
         keyed = roots.withColumn("key", F.col("minhashes_")[j])
         pivots = keyed.groupBy("key").agg(
@@ -210,7 +211,7 @@ def families(classes: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("members"),
         )
         now = stored(
-            keyed.join(pivots.filter("members > 1"), "key")
+            join_dealt(keyed, stored(pivots.filter("members > 1")), "key", total, "members")
             .filter((F.col("set_") != F.col("pivot.set_")) & (agree * 2 >= HASHES))
             .select("set_", F.col("pivot.set_").alias("family_"))
         )
@@ -228,41 +229,40 @@ def families(classes: DataFrame) -> DataFrame:
     return stored(merged.union(pivots))
 
 
-def forest(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def forest(
+    ids: np.ndarray, sizes: np.ndarray, changes: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
     """Edges that connect exactly the sets connected by links.
 
-    Sets are taken as differences from the first one. With |x ^ y| from the two
-    differences, |x & y| = (|x| + |y| - |x ^ y|) / 2.
+    Sets are given by their sizes and their differences from one and the same set. With
+    |x ^ y| from the two differences, |x & y| = (|x| + |y| - |x ^ y|) / 2.
     """
     order = np.argsort(ids, kind="stable")
-    ids, sets = ids[order], [sets[i] for i in order]
-    pivot = sets[0]
-    changes = [np.setxor1d(s, pivot, assume_unique=True) for s in sets]
-    sizes = np.array([len(s) for s in sets])
+    ids, sizes, changes = ids[order], sizes[order], [changes[i] for i in order]
     lengths = np.array([len(c) for c in changes])
     tokens, place, count = np.unique(
         np.concatenate(changes), return_inverse=True, return_counts=True
     )
     # A token in one difference only is in no intersection of differences.
     number = np.cumsum(count > 1) - 1
-    owner = np.repeat(np.arange(len(sets)), lengths)
+    owner = np.repeat(np.arange(len(ids)), lengths)
     common = count[place] > 1
     rows, columns = owner[common], number[place[common]]
-    both = np.zeros((len(sets), len(sets)), "float32")
+    both = np.zeros((len(ids), len(ids)), "float32")
     by_column = np.argsort(columns, kind="stable")
     rows, columns = rows[by_column], columns[by_column]
     for start in range(0, int((count > 1).sum()), 2048):
         lo, hi = np.searchsorted(columns, [start, start + 2048])
-        dense = np.zeros((len(sets), 2048), "float32")
+        dense = np.zeros((len(ids), 2048), "float32")
         dense[rows[lo:hi], columns[lo:hi] - start] = 1
         both += dense @ dense.T
     apart = lengths[:, None] + lengths[None, :] - 2 * both.astype("int64")
     inter = (sizes[:, None] + sizes[None, :] - apart) // 2
     linked = 100 * inter >= percent * (sizes[:, None] + sizes[None, :] - inter)
     np.fill_diagonal(linked, True)
-    label = np.arange(len(sets))
+    label = np.arange(len(ids))
     while True:
-        lower = np.where(linked, label[None, :], len(sets)).min(axis=1)
+        lower = np.where(linked, label[None, :], len(ids)).min(axis=1)
         lower = lower[lower]
         if (lower == label).all():
             break
@@ -270,38 +270,128 @@ def forest(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[
     return [(int(ids[i]), int(ids[r])) for i, r in enumerate(label) if i != r]
 
 
-def family_edges(members: DataFrame, percent: int) -> DataFrame:
-    """Links inside families, from (set_, family_, n_, text), by pairs of blocks."""
-    sizes = members.groupBy("family_").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)), F.ceil(F.sum("n_") / F.lit(BLOCK_TOKENS))
-        ).alias("blocks")
+def _blocks(rows, tokens):
+    """How many blocks hold so many sets with so many tokens."""
+    return F.greatest(
+        F.lit(1), F.ceil(rows / F.lit(BLOCK)), F.ceil(tokens / F.lit(BLOCK_TOKENS))
     )
-    sizes = stored(sizes)
-    own = F.pmod(F.xxhash64("set_"), F.col("blocks"))
-    units = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: F.least(F.col("own"), j) * F.col("blocks") + F.greatest(F.col("own"), j),
+
+
+def stars(members: DataFrame, percent: int) -> DataFrame:
+    """Each member of a family against its pivot, from (set_, family_, n_, text).
+
+    Columns set_, family_, n_, linked (with the pivot), plus and minus (members that it
+    has beyond the pivot, and the pivot beyond it), change (both). A family's members
+    are dealt over tasks, and the pivot alone goes to all of them.
+    """
+    sizes = stored(
+        members.groupBy("family_").agg(
+            _blocks(F.count(F.lit(1)), F.sum("n_")).alias("blocks")
+        )
+    )
+    pivot = F.col("set_") == F.col("family_")
+    parts = F.when(pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("set_"), F.col("blocks")))
     )
     dealt = (
         members.join(within_bound(sizes, sizes.count()), "family_")
+        .withColumn("part", F.explode(parts))
+        .select(
+            F.xxhash64("family_", "part").alias("unit"), "family_", "part", "set_", "text",
+            pivot.alias("pivot"),
+        )
+        .repartition("unit")
+        .sortWithinPartitions("unit", "family_", "part", F.desc("pivot"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for runs in sorted_runs(batches, "unit"):
+            first = runs.column("pivot").to_pylist()
+            ids, family = runs.column("set_").to_numpy(), runs.column("family_").to_numpy()
+            part, texts = runs.column("part").to_numpy(), runs.column("text")
+            rows, head = [], None
+            for i, is_first in enumerate(first):
+                own = shingles(texts[i].as_py())
+                if is_first:
+                    head = own
+                    if part[i]:
+                        continue  # told once, in part 0
+                change = np.setxor1d(own, head, assume_unique=True)
+                n, m = len(own), len(head)
+                plus = (len(change) + n - m) // 2
+                inter = n - plus
+                linked = 100 * inter >= percent * (n + m - inter)
+                rows.append(
+                    (ids[i], family[i], n, linked, plus, m - inter, _signed(change))
+                )
+            columns = zip(*rows, strict=True) if rows else [[]] * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, _STAR.values(), strict=True)],
+                list(_STAR),
+            )
+
+    return dealt.mapInArrow(
+        run,
+        "set_ long, family_ long, n_ long, linked boolean, plus long, minus long, "
+        "change array<long>",
+    )
+
+
+_STAR = {name: pa.int64() for name in ("set_", "family_", "n_")}
+_STAR |= {"linked": pa.bool_(), "plus": pa.int64(), "minus": pa.int64()}
+_STAR |= {"change": pa.list_(pa.int64())}
+
+
+def rest_edges(held: DataFrame, percent: int) -> DataFrame:
+    """Links of members that don't link with their pivot, inside their families.
+
+    They are dealt over blocks, and so are the others; each of their blocks meets all
+    the family's blocks. Pairs of two members linked with the pivot need no test.
+    """
+    tokens = F.size("change")
+    sizes = stored(
+        held.groupBy("family_")
+        .agg(
+            F.count(F.lit(1)).alias("members"),
+            F.count(F.when(~F.col("linked"), 1)).alias("rest"),
+            F.sum(F.when(~F.col("linked"), tokens).otherwise(0)).alias("rest_tokens"),
+            F.sum(F.when(F.col("linked"), tokens).otherwise(0)).alias("tokens"),
+        )
+        # Of two members, one is the pivot: nothing is left to test.
+        .filter("rest > 0 AND members > 2")
+        .select(
+            "family_",
+            _blocks(F.col("rest"), F.col("rest_tokens")).alias("open"),
+            _blocks(F.col("members") - F.col("rest"), F.col("tokens")).alias("others"),
+        )
+    )
+    own = F.when(
+        F.col("linked"), F.col("open") + F.pmod(F.xxhash64("set_"), F.col("others"))
+    ).otherwise(F.pmod(F.xxhash64("set_"), F.col("open")))
+    last = F.when(F.col("linked"), F.col("open")).otherwise(F.col("open") + F.col("others"))
+    blocks = F.col("open") + F.col("others")
+    met = F.filter(F.sequence(F.lit(0), last - 1), lambda j: j != F.col("own"))
+    dealt = (
+        held.join(within_bound(sizes, sizes.count()), "family_")
         .withColumn("own", own)
-        .withColumn("unit", F.explode(units))
-        .select(F.xxhash64("family_", "unit").alias("unit"), "set_", "text")
+        .withColumn("met", F.explode(met))
+        .withColumn("unit", F.least("own", "met") * blocks + F.greatest("own", "met"))
+        .select(F.xxhash64("family_", "unit").alias("unit"), "family_", "set_", "n_", "change")
         .repartition("unit")
-        .sortWithinPartitions("unit")
+        .sortWithinPartitions("unit", "family_")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for runs in sorted_runs(batches, "unit"):
-            unit = runs.column("unit").to_numpy()
-            ids, texts = runs.column("set_").to_numpy(), runs.column("text")
-            ends = [0, *(np.flatnonzero(np.diff(unit)) + 1), len(unit)]
+            unit, family = (runs.column(c).to_numpy() for c in ("unit", "family_"))
+            ids, sizes = runs.column("set_").to_numpy(), runs.column("n_").to_numpy()
+            changes = runs.column("change").combine_chunks()
+            cuts = np.flatnonzero((np.diff(unit) != 0) | (np.diff(family) != 0)) + 1
             edges = []
-            for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+            for lo, hi in zip([0, *cuts], [*cuts, len(unit)], strict=True):
                 if hi - lo > 1:
-                    sets = [shingles(texts[i].as_py()) for i in range(lo, hi)]
-                    edges += forest(ids[lo:hi], sets, percent)
+                    own = [changes[i].values.to_numpy() for i in range(lo, hi)]
+                    edges += forest(ids[lo:hi], sizes[lo:hi], own, percent)
             yield _pairs(edges)
 
     return dealt.mapInArrow(run, "a long, b long")
@@ -469,24 +559,84 @@ def candidates(
             f"shared >= (({percent} * (na + nb) + {99 + percent}) div {100 + percent})"
             f" + least(0, {SHARED} - (({percent} * greatest(na, nb) + 99) div 100))"
         )
-    ).select("a", "b")
+    ).select("a", "b", "na", "nb")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets; ``texts`` has (set_, text)."""
+def overlaps(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b, inter, linked) of the pairs (a, b), by their whole sets; ``texts`` has
+    (set_, text)."""
     whole = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges = []
-            for a, b, x, y in zip(*batch.columns, strict=True):
+            shared, linked = [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = shingles(x.as_py()), shingles(y.as_py())
                 inter = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * inter >= percent * (len(x) + len(y) - inter):
-                    edges.append((a.as_py(), b.as_py()))
-            yield _pairs(edges)
+                shared.append(inter)
+                linked.append(100 * inter >= percent * (len(x) + len(y) - inter))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(shared, pa.int64()), pa.array(linked, pa.bool_())],
+                ["a", "b", "inter", "linked"],
+            )
+
+    return whole.select("a", "b", "text_a", "text_b").mapInArrow(
+        run, "a long, b long, inter long, linked boolean"
+    )
+
+
+def behind_pivots(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, na, nb) with the pivots p and q that their sets link with (or the
+    sets themselves), and plus and minus of both differences together."""
+    near = held.filter("linked").select("set_", "family_", "plus", "minus")
+    found = pairs.join(near.toDF("a", "p", "plus_a", "minus_a"), "a", "left").join(
+        near.toDF("b", "q", "plus_b", "minus_b"), "b", "left"
+    )
+    zero = F.lit(0)
+    return found.select(
+        "a", "b", "na", "nb",
+        F.coalesce("p", "a").alias("p"),
+        F.coalesce("q", "b").alias("q"),
+        (F.coalesce("plus_a", zero) + F.coalesce("plus_b", zero)).alias("plus"),
+        (F.coalesce("minus_a", zero) + F.coalesce("minus_b", zero)).alias("minus"),
+    )
+
 
-    return whole.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+def from_pivots(tagged: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose pivots don't link, with ``linked``: what the pivots' overlap says of
+    them, null where it leaves them open.
+
+    A pair's overlap is at most the pivots' with all that its sets have beyond them, and
+    at least the pivots' without all that they lack.
+    """
+    known = answers.select(
+        F.col("a").alias("p"), F.col("b").alias("q"), "inter", F.col("linked").alias("joined")
+    )
+    needed = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
+    linked = F.when(F.col("inter") + F.col("plus") < needed, False).when(
+        F.col("inter") - F.col("minus") >= needed, True
+    )
+    return (
+        tagged.filter("a != p OR b != q")
+        .select("a", "b", "na", "nb", "plus", "minus",
+                F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
+        .join(within_bound(known, known.count()), ["p", "q"])
+        .filter("NOT joined")
+        .select("a", "b", linked.alias("linked"))
+    )
+
+
+def cross_edges(
+    pairs: DataFrame, held: DataFrame, texts: DataFrame, percent: int
+) -> DataFrame:
+    """Edges (a, b) that connect what the links among ``pairs`` connect."""
+    tagged = stored(behind_pivots(pairs, held))
+    heads = tagged.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    answers = stored(overlaps(heads.distinct(), texts, percent))
+    told = stored(from_pivots(tagged, answers, percent))
+    open_ = overlaps(told.filter("linked IS NULL").select("a", "b"), texts, percent)
+    edges = answers.filter("linked").unionByName(open_.filter("linked")).select("a", "b")
+    return edges.union(told.filter("linked").select("a", "b"))
 
 
 # --- components ----------------------------------------------------------------------
@@ -529,20 +679,11 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select("b", "b").distinct())
 
 
-def near_duplicates(
-    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``docs`` with row_ (unique), n_shingles, component_id and component_row_.
-
-    component_id is the smallest id reachable by links, the row's own if there are
-    none; component_row_ is the same for the rows of one component. Null and empty
-    texts have empty sets and link with nothing; null ids are no component_id unless
-    a component has no other. Repeated rows link like any equal texts. Further
-    columns are kept; names ending in ``_`` are reserved.
-    """
+def _judged(docs: DataFrame, percent: int, id_col: str, text_col: str):
+    """``docs`` as a stored table with row_, n_ and digest_, and their classes
+    (digest_, copies_, root_, component_id)."""
     if not 50 <= percent <= 100:
         raise ValueError("percent must be from 50 to 100")
-    docs = docs.drop("n_shingles", "component_id")
     rows = prepared(docs, text_col)
     counts = sketch(rows)
     rows = rows.filter("row_ IS NOT NULL").drop("buckets_", "counts_")
@@ -553,6 +694,7 @@ def near_duplicates(
             F.min("row_").alias("set_"),
             F.min(id_col).alias("least_"),
             F.first("minhashes_").alias("minhashes_"),
+            F.count(F.lit(1)).alias("copies_"),
         )
     )
     family = families(classes)
@@ -569,25 +711,46 @@ def near_duplicates(
             within_bound(wanted, wanted.count()), "set_"
         )
     )
-    inside = family_edges(texts.join(family, "set_"), percent)
-    edges = inside.union(verified(pairs, texts.select("set_", "text"), percent))
+    held = stored(stars(texts.join(family, "set_"), percent))
+    edges = (
+        held.filter("linked AND set_ != family_")
+        .select(F.col("set_").alias("a"), F.col("family_").alias("b"))
+        .union(rest_edges(held, percent))
+        .union(cross_edges(pairs, held, texts.select("set_", "text"), percent))
+    )
     found = stored(components(edges))
     joined = classes.join(found, "set_", "left").withColumn(
         "root_", F.coalesce("root_", "set_")
     )
     least = joined.groupBy("root_").agg(F.min("least_").alias("component_id"))
-    named = joined.join(least, "root_").select("digest_", "n_", "root_", "component_id")
-    return (
-        rows.drop("minhashes_")
-        .join(named, ["digest_", "n_"], "left")
-        .withColumn("component_row_", F.coalesce("root_", "row_"))
-        .withColumn(
-            "component_id",
-            F.when(F.col("n_") > 0, F.col("component_id")).otherwise(F.col(id_col)),
-        )
-        .withColumnRenamed("n_", "n_shingles")
-        .drop("digest_", "root_")
+    named = joined.join(least, "root_").select("digest_", "copies_", "root_", "component_id")
+    return rows.drop("minhashes_"), stored(named)
+
+
+def _named(rows: DataFrame, named: DataFrame, id_col: str) -> DataFrame:
+    """``rows`` with component_row_ and component_id; frequent texts stay in place."""
+    total = named.agg(F.sum("copies_")).first()[0] or 0
+    found = join_dealt(rows.filter("n_ > 0"), named, "digest_", total, "copies_")
+    empty = rows.filter("n_ = 0").withColumns(
+        {"root_": F.col("row_"), "component_id": F.col(id_col)}
     )
+    return found.drop("copies_").unionByName(empty).withColumnRenamed("root_", "component_row_")
+
+
+def near_duplicates(
+    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with row_ (unique), n_shingles, component_id and component_row_.
+
+    component_id is the smallest id reachable by links, the row's own if there are
+    none; component_row_ is the same for the rows of one component. Null and empty
+    texts have empty sets and link with nothing; null ids are no component_id unless
+    a component has no other. Repeated rows link like any equal texts. Further
+    columns are kept; names ending in ``_`` are reserved.
+    """
+    docs = docs.drop("n_shingles", "component_id")
+    rows, named = _judged(docs, percent, id_col, text_col)
+    return _named(rows, named, id_col).withColumnRenamed("n_", "n_shingles").drop("digest_")
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, text_col: str = "text") -> DataFrame:
@@ -595,17 +758,19 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, text_col: str = "text") ->
 
     All columns keep their values, those named like a result of ``near_duplicates`` too.
     Texts without words, null and empty, are components of their own and stay. Names
-    ending in ``_`` are reserved.
+    ending in ``_`` are reserved. Which rows stay is decided on ids and digests; whole
+    rows are shuffled once, to be picked.
     """
     docs, back = set_aside(docs, ["n_shingles", "component_id"])
-    found = near_duplicates(docs, percent, text_col=text_col)
+    rows, named = _judged(docs, percent, "doc_id", text_col)
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_"))
     first = (
-        found.groupBy("component_row_")
+        _named(rows.select("doc_id", "row_", "n_", "digest_"), named, "doc_id")
+        .groupBy("component_row_")
         .agg(F.min(place).alias("first_"))
         .select(F.col("first_.row_").alias("row_"))
     )
-    return found.join(first, "row_", "left_semi").select(*back)
+    return rows.join(first, "row_", "left_semi").select(*back)
 
 
 def op5_set_relations(spark, sf_dir: str) -> DataFrame:
