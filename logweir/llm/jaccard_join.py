@@ -44,6 +44,7 @@ SHARED = 3  # by so many tokens prefixes are longer than one shared token needs
 BLOCK = 512  # sets of a block
 BLOCK_TOKENS = 400_000  # and their tokens, about
 LIST = 4_000  # entries of a list that one task compares
+SHORT = 32  # entries of a list whose pairs are found along with those of others
 CACHE_WORDS = 1_000_000
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -499,6 +500,41 @@ def list_pairs(
                 yield np.column_stack([sets[x], sets[y], size[x], size[y]])
 
 
+def short_list_pairs(
+    starts: np.ndarray, ends: np.ndarray, columns: list[np.ndarray], percent: int
+) -> np.ndarray:
+    """The pairs of many short lists at once, by the tests of ``list_pairs`` on each pair.
+
+    Lists are ranges of ``columns`` (set_, family, size, place, chunk).
+    """
+    sets, family, size, place, chunk = columns
+    # One chunk against another: pairs inside a chunk are tested in its own list.
+    mixed = np.minimum.reduceat(chunk, starts) != np.maximum.reduceat(chunk, starts)
+    wanted = ends - starts <= SHORT
+    starts, ends, mixed = starts[wanted], ends[wanted], mixed[wanted]
+    found = [np.empty((0, 4), "int64")]
+    lengths = ends - starts
+    owner = np.repeat(np.arange(len(starts)), lengths)
+    rows = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + starts[owner]
+    for step in range(1, int(lengths.max(initial=0))):
+        inside = rows + step < ends[owner]
+        rows, owner = rows[inside], owner[inside]
+        x, y = rows, rows + step
+        room = np.minimum(place[x], place[y])
+        room = room + np.minimum(size[x] - place[x], size[y] - place[y])
+        good = (
+            (np.minimum(size[x], size[y]) >= least_partner(np.maximum(size[x], size[y]), percent))
+            & (room >= overlap_needed(size[x], size[y], percent))
+            & (family[x] != family[y])
+            & (sets[x] != sets[y])
+            & (~mixed[owner] | (chunk[x] != chunk[y]))
+        )
+        x, y = x[good], y[good]
+        x, y = np.where(sets[x] < sets[y], x, y), np.where(sets[x] < sets[y], y, x)
+        found.append(np.column_stack([sets[x], sets[y], size[x], size[y]]))
+    return np.concatenate(found)
+
+
 def candidates(
     rows: DataFrame, text_col: str, classes: DataFrame, family: DataFrame,
     counts: np.ndarray, percent: int,
@@ -534,8 +570,9 @@ def candidates(
             ]
             keys = runs.column("list").to_numpy()
             ends = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
-            found, held = [], 0
-            for k in np.flatnonzero(np.diff(ends) > 1):
+            found = [short_list_pairs(ends[:-1], ends[1:], columns, percent)]
+            held = len(found[0])
+            for k in np.flatnonzero(np.diff(ends) > SHORT):
                 own = [c[ends[k] : ends[k + 1]] for c in columns]
                 if (own[1] == own[1][0]).all():
                     continue  # one family: its links are found elsewhere

@@ -134,3 +134,108 @@ def test_a_token_rare_in_each_task_is_counted_and_its_list_dealt(spark, monkeypa
     near = [(i, f"all have this and that too {'x' * (i % 3)}", "a") for i in range(90)]
     got = near_duplicates(documents(spark, near).repartition(30), 60).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_force(near, 60)
+
+
+def test_short_lists_have_the_pairs_of_the_general_way():
+    random.seed(4)
+    draw = np.random.default_rng(4)
+    lengths = [random.randrange(1, 40) for _ in range(60)]
+    ends = np.cumsum(lengths)
+    starts, n = ends - lengths, int(ends[-1])
+    size = draw.integers(18, 24, n)
+    chunk = np.repeat(draw.integers(0, 2, 60), lengths) * draw.integers(0, 2, n)
+    columns = [draw.integers(0, 90, n), draw.integers(0, 5, n), size, draw.integers(0, 3, n), chunk]
+    found, expected = jaccard_join.short_list_pairs(starts, ends, columns, 90), []
+    for lo, hi in zip(starts, ends):
+        for x in range(lo, hi) if hi - lo <= jaccard_join.SHORT else ():
+            for y in range(x + 1, hi):
+                (a, f, m, i, c), (b, g, k, j, d) = ([int(v[z]) for v in columns] for z in (x, y))
+                split = len(set(chunk[lo:hi])) > 1
+                room = min(i, j) + min(m - i, k - j)
+                if a != b and f != g and not (split and c == d) and 100 * min(m, k) >= 90 * max(m, k):
+                    if 190 * room >= 90 * (m + k):
+                        expected.append((a, b, m, k) if a < b else (b, a, k, m))
+    assert expected and sorted(map(tuple, found.tolist())) == sorted(expected)
+
+
+def pages(words, copies, changes, seed):
+    """(id, text) of copies of a page, each with some words changed."""
+    random.seed(seed)
+    for i in range(copies):
+        own = list(words)
+        for _ in range(changes):
+            own[random.randrange(len(own))] = f"y{random.randrange(10**6)}"
+        yield " ".join(own)
+
+
+def test_a_family_of_thousands_follows_from_its_pivot(spark):
+    """3000 copies with a word changed link with each other; a tenth more lie aside."""
+    words = [f"p{i}" for i in range(200)]
+    near = list(pages(words, 3000, 1, 1))
+    aside = list(pages(words, 300, 9, 2))
+    members = spark.createDataFrame(
+        [(i, 0, 198, t) for i, t in enumerate(near + aside)],
+        "set_ long, family_ long, n_ long, text string",
+    )
+    held = jaccard_join.stored(jaccard_join.stars(members, 90))
+    sets = [shingle_set(t) for t in near + aside]
+    told = {r.set_: r for r in held.collect()}
+    assert len(told) == len(sets) == held.count()
+    for i, own in enumerate(sets):
+        r = told[i]
+        both = len(own & sets[0])
+        assert (r.plus, r.minus, len(r.change)) == (
+            len(own) - both, len(sets[0]) - both, len(own ^ sets[0])
+        )
+        assert r.linked == (100 * both >= 90 * (len(own) + len(sets[0]) - both))
+    assert all(told[i].linked for i in range(3000))
+    # No pair of members that link with the pivot is tested; the others are, exactly.
+    assert jaccard_join.rest_edges(held.filter("linked"), 90).count() == 0
+    links = {frozenset(e) for e in jaccard_join.rest_edges(held, 90).collect()}
+    rest = [i for i in told if not told[i].linked]
+    assert rest
+    root = {i: 0 if told[i].linked else i for i in told}
+
+    def find(i, up):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    brute = dict(root)
+    for up, pairs in (
+        (root, [tuple(e) for e in links]),
+        (brute, [(i, j) for i in rest for j in told if i != j
+                 and 190 * len(sets[i] & sets[j]) >= 90 * (len(sets[i]) + len(sets[j]))]),
+    ):
+        for i, j in pairs:
+            a, b = sorted((find(i, up), find(j, up)))
+            up[b] = a
+    assert {i: find(i, root) for i in told} == {i: find(i, brute) for i in told}
+
+
+def test_pivots_answers_stand_for_their_members(spark):
+    """What the pivots' overlap says of a pair is what its own sets say."""
+    words = [f"p{i}" for i in range(120)]
+    texts = []
+    for far in (0, 3, 4, 40):  # pages at growing distance from the first
+        page = [*words[: 120 - far], *[f"q{far}v{i}" for i in range(far)]]
+        texts += [" ".join(page), *pages(page, 6, 1, far), *pages(page, 2, 3, far)]
+    sets = [shingle_set(t) for t in texts]
+    family = [i - i % 9 for i in range(len(texts))]
+    rows = [(i, f, len(sets[i]), t) for i, (f, t) in enumerate(zip(family, texts))]
+    members = spark.createDataFrame(rows, "set_ long, family_ long, n_ long, text string")
+    held = jaccard_join.stored(jaccard_join.stars(members, 90))
+    pairs = spark.createDataFrame(
+        [(i, j, len(sets[i]), len(sets[j])) for i in range(len(sets)) for j in range(i)
+         if family[i] != family[j]], "a long, b long, na long, nb long",
+    )
+    tagged = jaccard_join.behind_pivots(pairs, held)
+    heads = tagged.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    whole = members.select("set_", "text")
+    answers = jaccard_join.stored(jaccard_join.overlaps(heads, whole, 90))
+    told = jaccard_join.from_pivots(tagged, answers, 90).collect()
+    said = [r for r in told if r.linked is not None]
+    assert len(said) * 2 > len(told)
+    for r in said:
+        both = len(sets[r.a] & sets[r.b])
+        assert r.linked == (190 * both >= 90 * (len(sets[r.a]) + len(sets[r.b])))
