@@ -101,15 +101,15 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view("int64")
 
 
-def told_counters(counters: np.ndarray, seen: int) -> tuple[np.ndarray, np.ndarray]:
+def told_counters(counters: np.ndarray, seen: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets a task reports, and their counts, from the ``seen`` tokens it counted.
 
     What stands out of the task's noise is told as it is. A smaller counter c is told as
-    ``STEP`` with probability c / ``STEP``: right on average, so that a token rare in
+    ``least`` with probability c / ``least``: right on average, so that a token rare in
     each task and frequent over all of them is seen, and few are told.
     """
     noise = 3 + 3 * seen // SKETCH
-    step = max(STEP, noise + 1)
+    step = max(least, noise + 1)
     used = np.flatnonzero(counters)
     own = counters[used].astype("int64")
     drawn = np.random.default_rng().random(len(used)) * step < own
@@ -122,7 +122,7 @@ def prepared(docs: DataFrame, text_col: str) -> DataFrame:
     null row_, hold each task's frequent sketch counters."""
     keyed = docs.withColumn("row_", F.monotonically_increasing_id())
     names = [*keyed.columns, "n_", "digest_", "minhashes_", "buckets_", "counts_"]
-    longs = pa.list_(pa.int64())
+    longs, least = pa.list_(pa.int64()), STEP
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, seen, schema = np.zeros(SKETCH, "uint32"), 0, None
@@ -156,7 +156,7 @@ def prepared(docs: DataFrame, text_col: str) -> DataFrame:
                     names,
                 )
         if schema is not None:
-            often, told = told_counters(counters, seen)
+            often, told = told_counters(counters, seen, least)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[pa.nulls(1, field.type) for field in schema],
