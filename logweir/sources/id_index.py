@@ -24,6 +24,9 @@ from logweir.sources.lake import committed_batches, ever_committed, read_events,
 # Of a new index; an existing one keeps its number until it is rebuilt.
 BUCKETS = 64
 
+# A table's location has no escapes: without this option Spark takes it for a pattern.
+LITERAL_PATH = "OPTIONS ('__globPaths__' = 'false')"
+
 
 def _newest(spark: SparkSession, lake_dir: str) -> Row | None:
     named = read_table(spark, f"{lake_dir}/indexed_batches", INDEXED_BATCHES)
@@ -42,8 +45,9 @@ def _declared(spark: SparkSession, lake_dir: str, index: Row) -> str:
     if not spark.catalog.tableExists(name):
         location = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {name} ({EVENT_IDS}) USING parquet CLUSTERED BY (event_id) "
-            f"SORTED BY (event_id) INTO {index.buckets} BUCKETS LOCATION '{location}'"
+            f"CREATE TABLE {name} ({EVENT_IDS}) USING parquet {LITERAL_PATH} "
+            f"CLUSTERED BY (event_id) SORTED BY (event_id) INTO {index.buckets} BUCKETS "
+            f"LOCATION '{location}'"
         )
     return name
 

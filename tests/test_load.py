@@ -543,3 +543,14 @@ def test_response_pages_are_split(folder):
 def test_invalid_record_limit(folder):
     with pytest.raises(ValueError):
         land_events(texts_of(folder.spark, line()), str(folder.raw), max_records=0)
+
+
+def test_the_index_lies_in_lakes_of_any_name(folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(loader, "MAX_BROADCAST_ROWS", 1)
+    folder.lake = str(tmp_path / "lake[1]* {a,b}")
+    folder.write("a.jsonl", *(line(id=str(i)) for i in range(5)))
+    assert folder.load() == (1, 1, 0, 5)
+    folder.write("b.jsonl", *(line(id=str(i)) for i in range(3, 8)))
+    assert folder.load() == (2, 1, 1, 3)
+    assert id_index._newest(folder.spark, folder.lake) is not None
+    assert stored_ids(folder) == [str(i) for i in range(8)]
