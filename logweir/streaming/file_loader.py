@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.jsonlines import is_blank
 from logweir.functions.time import naive_utc
-from logweir.plans.shared import escaped, within_bound
+from logweir.plans.shared import escaped, stored, within_bound
 from logweir.sources.lake import read_manifest
 from logweir.sources.loader import load_batch, retry_rejected
 from logweir.sources.rawfiles import (
@@ -22,6 +22,17 @@ from logweir.sources.rawfiles import (
 )
 
 
+def not_known(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The ``files`` of a micro-batch that are not in the manifest.
+
+    The files go to the manifest, which is long, and only its hits come back: sent
+    through the driver with every micro-batch, it would grow with its square.
+    """
+    names = manifest.select(F.col("file_path").alias("source_file"))
+    hits = names.join(F.broadcast(files.select("source_file")), "source_file", "left_semi")
+    return files.join(F.broadcast(hits), "source_file", "left_anti")
+
+
 def stream_load(
     spark: SparkSession,
     raw_dir: str,
@@ -58,14 +69,11 @@ def stream_load(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        files = batch.select("path", "source_file", "file_size").distinct()
-        known = read_manifest(batch.sparkSession, lake_dir).select(
-            F.col("file_path").alias("source_file")
-        )
+        files = stored(batch.select("path", "source_file", "file_size").distinct())
         # At most max_files_per_trigger rows.
         new = [
             Row(path=unquote(row.path), file_path=row.source_file, file_size=row.file_size)
-            for row in files.join(known, "source_file", "left_anti").collect()
+            for row in not_known(files, read_manifest(batch.sparkSession, lake_dir)).collect()
         ]
         if not new:
             return

@@ -6,6 +6,7 @@ from test_parse import BROKEN, line
 
 from logweir import land_events, read_events, read_manifest, stream_load, stream_sessions
 from logweir.operators.sessions import session_totals
+from logweir.streaming import file_loader
 from logweir.streaming.numbered import LATE, SESSION, write_numbered_sessions
 
 
@@ -214,3 +215,23 @@ def test_late_rows_come_out_beside_and_change_nothing(spark, events, tmp_path):
         ("ann", 1, N, N, 1),
         ("bob", 1, mark, N + timedelta(hours=5), 2),
     ]
+
+
+def test_the_manifest_does_not_pass_the_driver_with_each_micro_batch(spark, tmp_path, monkeypatch):
+    folder = Folder(spark, tmp_path)
+    for i in range(6):
+        folder.write(f"a{i}.jsonl", line(id=f"e{i}"))
+    folder.load()
+    sizes = []
+
+    def counted(df):
+        sizes.append(df.count())
+        return broadcast(df)
+
+    broadcast = file_loader.F.broadcast
+    monkeypatch.setattr(file_loader.F, "broadcast", counted)
+    columns = "path string, source_file string, file_size long"
+    files = spark.createDataFrame([("p", "a1.jsonl", 1), ("q", "b.jsonl", 1)], columns)
+    left = file_loader.not_known(files, read_manifest(spark, folder.lake))
+    assert [r.source_file for r in left.collect()] == ["b.jsonl"]
+    assert sizes == [2, 1]
