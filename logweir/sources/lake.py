@@ -55,12 +55,14 @@ def read_events(spark: SparkSession, lake_dir: str) -> DataFrame:
     """Committed events, with the partition columns behind the table's own.
 
     A semi join on the committed batch ids, which Spark turns into partition
-    pruning at run time; nothing is collected.
+    pruning at run time; nothing is collected. The ids are broadcast: joined by hash,
+    all events of a batch would go to one task. They are fewer than the batches'
+    folders, which the reader's listing holds in any case.
     """
     events = read_table(spark, f"{lake_dir}/events", EVENTS_LAYOUT)
     columns = EVENTS_LAYOUT.fieldNames()
     committed = committed_batches(spark, lake_dir)
-    return events.join(committed, "batch_id", "left_semi").select(*columns)
+    return events.join(F.broadcast(committed), "batch_id", "left_semi").select(*columns)
 
 
 def ever_committed(spark: SparkSession, lake_dir: str) -> DataFrame:

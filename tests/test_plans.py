@@ -1,9 +1,13 @@
 """Shapes of physical plans that matter once the tables are large."""
 
 import pytest
+from test_parse import line
 
 from logweir import (
     events_per_type,
+    land_events,
+    load_events,
+    read_events,
     recent_repo_events,
     repo_events_nested,
     sessionize,
@@ -96,3 +100,19 @@ def test_no_slow_operators(table, word):
         repo_events_nested(table),
     ]:
         assert word not in plan(df)
+
+
+def test_events_of_a_batch_are_not_gathered(spark, tmp_path):
+    """Joined by hash, all events of a batch would go to one task."""
+    lake = str(tmp_path / "lake")
+    land_events(spark.createDataFrame([(line(id="e1"),)], "value string"), str(tmp_path / "raw"))
+    load_events(spark, str(tmp_path / "raw"), lake, views=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(read_events(spark, lake))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [batch_id" in text
+    assert "SortMergeJoin [batch_id" in text  # what is committed, on its own few rows
+    assert text.index("BroadcastHashJoin") < text.index("SortMergeJoin")
