@@ -148,7 +148,7 @@ def compact_events(
     if batches < 2:
         return 0
     batch_id = f"{moment:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:12]}"
-    merged = events.join(old.select("batch_id"), "batch_id", "left_semi")
+    merged = events.join(F.broadcast(old.select("batch_id")), "batch_id", "left_semi")
     if write_events(merged, lake_dir, batch_id) != rows:
         raise RuntimeError("the events changed during the compaction")
     (
