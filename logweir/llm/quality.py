@@ -35,6 +35,8 @@ MIN_STEPS = 600
 BATCH = 24
 # A vector gets a share of a document's gradient only, so it takes larger steps.
 VECTOR_RATE = 100.0
+# Words whose features are worked out at once.
+PIECE = 4096
 # Words whose products a worker keeps; it starts anew when full.
 CACHE_WORDS = 400_000
 
@@ -74,6 +76,18 @@ def word_features(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarra
     return np.concatenate(found)[order], np.bincount(owners_, minlength=len(words))
 
 
+def features_in_pieces(
+    words: list[bytes], buckets: int = BUCKETS, piece: int = PIECE
+) -> tuple[np.ndarray, np.ndarray]:
+    """``word_features``, with working memory for ``piece`` words only."""
+    parts = [
+        word_features(words[start : start + piece], buckets)
+        for start in range(0, max(len(words), 1), piece)
+    ]
+    features = np.concatenate([part.astype("int32") for part, _ in parts])
+    return features, np.concatenate([counts for _, counts in parts])
+
+
 @dataclass
 class Model:
     """``products[f]`` is feature f's vector times the layer, for each class."""
@@ -103,17 +117,17 @@ class Scorer:
         first = len(self.places)
         while len(self.sums) < first + len(words):
             self.sums = np.concatenate([self.sums, np.empty_like(self.sums)])
-        for start in range(0, len(words), 4096):
-            piece = words[start : start + 4096]
+        for start in range(0, len(words), PIECE):
+            piece = words[start : start + PIECE]
             at = first + start
             self.sums[at : at + len(piece)] = self.model.word_sums(piece)
         self.places.update(zip(words, range(first, first + len(words)), strict=True))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         """Probability of class 1; without words the layer's bias decides."""
-        split = [(text or "").encode().split() for text in texts]
         out = np.empty(len(texts))
-        for i, words in enumerate(split):
+        for i, text in enumerate(texts):
+            words = (text or "").encode().split()
             new = list({w for w in words if w not in self.places})
             if new:
                 self._learn(new)
@@ -140,25 +154,27 @@ def train(
 ) -> Model:
     """Vectors and layer from columns text and label (0 or 1), in two classes."""
     random = np.random.default_rng(seed)
-    docs = [(text or "").encode().split() for text in frame["text"]]
     labels = frame["label"].to_numpy("int64")
     vocabulary: dict[bytes, int] = {}
     bags = []
-    for words in docs:
-        ids = [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+    # One text's words at a time, and a piece of the vocabulary: the task's memory
+    # holds distinct words and features, not all words at once.
+    for text in frame["text"]:
+        ids = [vocabulary.setdefault(w, len(vocabulary)) for w in (text or "").encode().split()]
         bags.append(np.unique(np.array(ids, "int64"), return_counts=True))
-    features, counts = word_features(list(vocabulary), buckets)
+    features, counts = features_in_pieces(list(vocabulary), buckets)
+    del vocabulary
     ends = np.concatenate([[0], np.cumsum(counts)]).astype("int64")
     vectors = (random.random((buckets, dim)) - 0.5) / dim
     layer, bias = np.zeros((dim, 2)), np.zeros(2)
     # Vectors start with a little difference between the classes to climb from.
     layer[:, 1] = random.standard_normal(dim) * 0.1
-    per_epoch = math.ceil(max(len(docs), 1) / batch)
+    per_epoch = math.ceil(max(len(bags), 1) / batch)
     epochs = max(epochs, math.ceil(MIN_STEPS / per_epoch))
     steps = epochs * per_epoch
     step = 0
     for _ in range(epochs):
-        order = random.permutation(len(docs))
+        order = random.permutation(len(bags))
         for start in range(0, len(order), batch):
             now = rate * (1 - step / steps)
             step += 1

@@ -121,3 +121,21 @@ def test_hard_rows_and_missing_labels(spark):
     empty = no_documents(spark)
     assert quality.score_quality(empty, quality.fit_quality(empty, both)).count() == 0
     assert severity.score_severity(empty, severity.fit_severity(empty, both)).count() == 0
+
+
+def test_training_holds_features_of_a_piece_of_the_vocabulary(monkeypatch):
+    words = [f"w{i}" for i in range(3 * quality.PIECE)]
+    frame = pd.DataFrame({"text": [" ".join(words[i::8]) for i in range(8)], "label": [0, 1] * 4})
+    sizes, whole = [], quality.word_features
+
+    def counted(words, buckets):
+        sizes.append(len(words))
+        return whole(words, buckets)
+
+    monkeypatch.setattr(quality, "word_features", counted)
+    quality.train(frame, epochs=1)
+    assert sum(sizes) == len(words) and max(sizes) <= quality.PIECE
+    encoded = [w.encode() for w in words]
+    for got, expected in zip(quality.features_in_pieces(encoded), whole(encoded), strict=True):
+        assert (got == expected).all()
+    assert [len(part) for part in quality.features_in_pieces([])] == [0, 0]
