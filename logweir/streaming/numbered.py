@@ -37,43 +37,47 @@ def merged_spans(first: np.ndarray, last: np.ndarray, n: np.ndarray, gap: int):
 
 
 class _Numbered(StatefulProcessor):
-    """Per actor: the spans still open, and how many were closed before them."""
+    """Per actor: the spans still open, and how many were closed before them.
+
+    Each call on the state is a round trip, and there is an actor's worth of them for
+    every actor: the state is one value, with the time of the actor's only timer.
+    """
 
     def __init__(self, gap: int) -> None:
         self.gap = gap
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "first long, last long, n long")
-        self.closed = handle.getValueState("closed", "n long")
+        # Spans are int64 first, last and n, one column after the other.
+        self.actor = handle.getValueState("actor", "closed long, wake long, spans binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         mark = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
-        spans = self._spans()
+        closed, wake, kept = self._state()
+        spans = kept
         for frame in rows:
             at = frame["at"].to_numpy(np.int64)
             late = (at < mark) & (mark > 0)
             if late.any():
                 told = frame.loc[late, ["event_id", "at"]]
                 yield self._rows(key, event_id=told["event_id"].to_numpy(), at=told["at"].to_numpy())
-            at = at[~late]
+                at = at[~late]
             if len(at):
                 ones = np.ones(len(at), np.int64)
                 both = [np.concatenate(pair) for pair in zip(spans, (at, at, ones), strict=True)]
                 spans = merged_spans(*both, self.gap)
-        if len(spans[0]):
-            self._keep(spans)
+        if spans is not kept:
+            self._keep(closed, wake, spans)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        spans = self._spans()
+        before, _, spans = self._state()
         # No row that is not late can reach back to these.
         done = spans[1] + self.gap < mark
-        before = self.closed.get()[0] if self.closed.exists() else 0
         count = int(done.sum())
-        self._keep([column[~done] for column in spans])
+        # The timer that has come is deleted when this is over.
+        self._keep(before + count, None, [column[~done] for column in spans])
         if count:
-            self.closed.update((before + count,))
             first, last, n = (column[done] for column in spans)
             yield self._rows(
                 key,
@@ -86,30 +90,34 @@ class _Numbered(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _spans(self) -> list[np.ndarray]:
-        rows = [tuple(row) for row in self.open.get()] if self.open.exists() else []
-        return list(np.array(rows, np.int64).reshape(-1, 3).T)
+    def _state(self) -> tuple[int, int | None, list[np.ndarray]]:
+        closed, wake, spans = self.actor.get() or (0, None, b"")
+        return closed, wake, list(np.frombuffer(spans, np.int64).reshape(3, -1))
 
-    def _keep(self, spans) -> None:
+    def _keep(self, closed: int, wake: int | None, spans) -> None:
         """Store the open spans and wake up when the first of them may close."""
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if not len(spans[0]):
-            self.open.clear()
-            return
-        self.open.put(list(zip(*(column.tolist() for column in spans), strict=True)))
-        self.handle.registerTimer((int(spans[1].min()) + self.gap) // 1000 + 1)
+        due = (int(spans[1].min()) + self.gap) // 1000 + 1 if len(spans[0]) else None
+        if due != wake:
+            if wake is not None:
+                self.handle.deleteTimer(wake)
+            if due is not None:
+                self.handle.registerTimer(due)
+        self.actor.update((closed, due, np.concatenate(spans).tobytes()))
 
     @staticmethod
     def _rows(key, **columns) -> pd.DataFrame:
-        names = ["session_id", "first", "last", "events_in_session", "at"]
         size = len(next(iter(columns.values())))
-        frame = {"actor_login": pd.Series([key[0]] * size, dtype=object)}
-        for name in names:
-            frame[name] = pd.array(columns.get(name, [None] * size), dtype="Int64")
-        frame["event_id"] = pd.Series(columns.get("event_id", [None] * size), dtype=object)
-        order = ["actor_login", "session_id", "first", "last", "events_in_session", "event_id", "at"]
-        return pd.DataFrame(frame)[order]
+        nothing = pd.arrays.IntegerArray(np.zeros(size, np.int64), np.ones(size, bool))
+        texts = {"actor_login": np.full(size, key[0], object), "event_id": np.full(size, None, object)}
+        frame = {}
+        for name in ["actor_login", "session_id", "first", "last", "events_in_session", "event_id", "at"]:
+            if name in texts:
+                frame[name] = columns.get(name, texts[name])
+            elif name in columns:
+                frame[name] = pd.arrays.IntegerArray(columns[name].astype(np.int64), np.zeros(size, bool))
+            else:
+                frame[name] = nothing
+        return pd.DataFrame(frame, copy=False)
 
 
 def _micros(spark: SparkSession, gap: str) -> int:

@@ -1,5 +1,6 @@
 from datetime import datetime, timedelta
 
+import pandas as pd
 from conftest import N
 from test_load import Folder
 from test_parse import BROKEN, line
@@ -7,7 +8,7 @@ from test_parse import BROKEN, line
 from logweir import land_events, read_events, read_manifest, stream_load, stream_sessions
 from logweir.operators.sessions import session_totals
 from logweir.streaming import file_loader
-from logweir.streaming.numbered import LATE, SESSION, write_numbered_sessions
+from logweir.streaming.numbered import LATE, SESSION, _Numbered, write_numbered_sessions
 
 
 def run(folder, path, **options):
@@ -235,3 +236,69 @@ def test_the_manifest_does_not_pass_the_driver_with_each_micro_batch(spark, tmp_
     left = file_loader.not_known(files, read_manifest(spark, folder.lake))
     assert [r.source_file for r in left.collect()] == ["b.jsonl"]
     assert sizes == [2, 1]
+
+
+class Counted:
+    """An actor's handle that counts round trips: one state, and timers."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def registerTimer(self, moment):
+        self.calls += 1
+        self.timers.add(moment)
+
+    def deleteTimer(self, moment):
+        self.calls += 1
+        self.timers.remove(moment)
+
+
+class Mark:
+    def __init__(self, millis):
+        self.millis = millis
+
+    def getCurrentWatermarkInMs(self):
+        return self.millis
+
+
+def test_an_actor_takes_few_round_trips(spark):
+    handle, minute = Counted(), 60_000_000
+    actor = _Numbered(30 * minute)
+    actor.init(handle)
+
+    def rows(*minutes):
+        ats = [m * minute for m in minutes]
+        return iter([pd.DataFrame({"event_id": list("abcdef")[: len(ats)], "at": ats})])
+
+    def closed(frames):
+        told = [f[["session_id", "first", "last", "events_in_session"]] for f in frames]
+        return [tuple(x // minute if 0 < i < 3 else x for i, x in enumerate(r)) for f in told for r in f.to_numpy().tolist()]
+
+    assert not list(actor.handleInputRows(("ann",), rows(0, 100, 10, 300), Mark(0)))
+    assert handle.calls == 3 and handle.timers == {40 * 60_000 + 1}
+    handle.calls = 0
+    # An earlier first event moves the timer's session on.
+    assert not list(actor.handleInputRows(("ann",), rows(35), Mark(0)))
+    assert handle.calls == 4 and handle.timers == {65 * 60_000 + 1}
+    handle.calls = 0
+    came = handle.timers.pop()
+    assert closed(actor.handleExpiredTimer(("ann",), Mark(200 * 60_000), came)) == [(1, 0, 35, 3), (2, 100, 100, 1)]
+    assert handle.calls == 3 and handle.timers == {330 * 60_000 + 1}
+    # A late row changes nothing, and nothing is stored for it.
+    handle.calls = 0
+    late = list(actor.handleInputRows(("ann",), rows(100), Mark(200 * 60_000)))
+    assert [f["event_id"].tolist() for f in late] == [["a"]] and handle.calls == 1
+    came = handle.timers.pop()
+    assert closed(actor.handleExpiredTimer(("ann",), Mark(400 * 60_000), came)) == [(3, 300, 300, 1)]
+    assert not handle.timers
