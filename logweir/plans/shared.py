@@ -6,12 +6,16 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows a table may have to be broadcast by hint.
 MAX_BROADCAST_ROWS = 200_000
 
+# The most tasks that list files.
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS_PER_CORE = 4
+
 _RUNS: dict[str, list[str]] = {}
 
 
@@ -70,10 +74,27 @@ def stored(df: DataFrame) -> DataFrame:
 
 def stored_and_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``stored``, and the number of rows, which is counted while writing."""
+    rows, found = stored_and_observed(df, F.count(F.lit(1)).alias("rows"))
+    return rows, found["rows"]
+
+
+def stored_and_observed(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and named aggregates of its rows, which are taken while writing."""
     path = run_folder(df.sparkSession)
-    rows = Observation()
-    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(escaped(path)), rows.get["rows"]
+    seen = Observation()
+    df.observe(seen, *measures).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(escaped(path)), seen.get
+
+
+def bounded_listing(spark: SparkSession) -> None:
+    """Let Spark list many files in a few tasks per core, not in a task per file.
+
+    A stream lists every micro-batch with the settings of the session it was started
+    in, so they can't be put back. A lower setting is kept.
+    """
+    tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(LISTING_TASKS)) > tasks:
+        spark.conf.set(LISTING_TASKS, str(tasks))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -105,3 +105,5 @@ INDEXED_BATCHES = T.StructType(
 )
 
 EVENT_IDS = "event_id STRING, batch_id STRING"
+
+ONLY_IDS = T.StructType([T.StructField("event_id", T.StringType())])

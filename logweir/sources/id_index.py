@@ -6,6 +6,10 @@ batches it covers, and is appended to after their ids are written; ids of a brok
 load stay in the buckets but their batch is never named as committed. Batches that are
 not covered yet, those of small loads, are few and are read from the events; the next
 large load or a compaction covers them. A compaction starts a new generation.
+
+A small load writes its new ids into one file of its own, ``batch_ids``, which the next
+small loads read in place of the batch's events, that have a file for each day. A stream
+has a batch for each micro-batch, and compares every one with those before it.
 """
 
 from __future__ import annotations
@@ -13,17 +17,28 @@ from __future__ import annotations
 import hashlib
 import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.plans.shared import within_bound
-from logweir.schemas import EVENT_IDS, INDEXED_BATCHES
-from logweir.sources.lake import committed_batches, ever_committed, read_events, read_table
+from logweir.plans.shared import escaped, within_bound
+from logweir.schemas import EVENT_IDS, INDEXED_BATCHES, ONLY_IDS
+from logweir.sources.lake import (
+    committed_batches,
+    ever_committed,
+    read_events,
+    read_table,
+    replaced_batches,
+)
+from logweir.sources.rawfiles import read_or_none
 
 # Of a new index; an existing one keeps its number until it is rebuilt.
 BUCKETS = 64
 
+# One folder for each small batch, with its ids.
+KEPT_FOLDER = "batch_ids"
+
 # A table's location has no escapes: without this option Spark takes it for a pattern.
 LITERAL_PATH = "OPTIONS ('__globPaths__' = 'false')"
 
@@ -124,3 +139,48 @@ def drop_indexed(spark: SparkSession, lake_dir: str, new: DataFrame) -> DataFram
         .join(known.select("event_id"), "event_id", "left_anti")
         .join(uncovered.select("event_id"), "event_id", "left_anti")
     )
+
+
+def keep(fresh: DataFrame, lake_dir: str, batch_id: str) -> None:
+    """Write the ids of a small batch that is about to be committed."""
+    ids = fresh.select("event_id").coalesce(1).sortWithinPartitions("event_id")
+    ids.write.parquet(f"{lake_dir}/{KEPT_FOLDER}/batch_id={batch_id}")
+
+
+def _kept(spark: SparkSession, lake_dir: str) -> set[str]:
+    """Batches with a file of ids, committed or not."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{escaped(lake_dir)}/{KEPT_FOLDER}/batch_id=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return {status.getPath().getName().partition("=")[2] for status in found or []}
+
+
+def known_ids(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """``event_id`` of the stored events, for a small load.
+
+    From the files of ids where a batch has one, a replaced batch too, since its events
+    go on in another; else from the batch's events. One name per batch passes the
+    driver; the folders of other batches are not listed.
+    """
+    kept = _kept(spark, lake_dir)
+    if not kept:
+        return read_events(spark, lake_dir).select("event_id")
+    ever = {row.batch_id for row in ever_committed(spark, lake_dir).collect()}
+    gone = {row.batch_id for row in replaced_batches(spark, lake_dir).collect()}
+    tables = [
+        _ids_in(spark, f"{lake_dir}/{KEPT_FOLDER}", ever & kept, kept),
+        _ids_in(spark, f"{lake_dir}/events", ever - gone - kept),
+    ]
+    found = [table for table in tables if table is not None]
+    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], ONLY_IDS)
+
+
+def _ids_in(
+    spark: SparkSession, folder: str, batches: set[str], present: set[str] | None = None
+) -> DataFrame | None:
+    """Ids below the ``batches``' folders; all those ``present`` need not be named."""
+    if not batches:
+        return None
+    names = "*" if batches == present else f"{{{','.join(sorted(batches))}}}"
+    pattern = f"{escaped(folder)}/batch_id={names}"
+    found = read_or_none(spark.read.schema(ONLY_IDS).parquet, pattern)
+    return None if found is None else found.select("event_id")

@@ -74,11 +74,16 @@ def ever_committed(spark: SparkSession, lake_dir: str) -> DataFrame:
 
 def committed_batches(spark: SparkSession, lake_dir: str) -> DataFrame:
     """Ids of the batches that make up the table now."""
-    merged = read_table(spark, f"{lake_dir}/{COMPACTION_FOLDER}", COMPACTIONS)
-    replaced = merged.select(F.col("replaced_id").alias("batch_id"))
+    replaced = replaced_batches(spark, lake_dir)
     return ever_committed(spark, lake_dir).join(replaced, "batch_id", "left_anti")
 
 
+def replaced_batches(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """Ids of the batches whose events a compaction has written anew."""
+    merged = read_table(spark, f"{lake_dir}/{COMPACTION_FOLDER}", COMPACTIONS)
+    return merged.select(F.col("replaced_id").alias("batch_id"))
+
+
 def read_rejected(spark: SparkSession, lake_dir: str) -> DataFrame:
     """Every refusal of a file: ``file_path, reason, rejected_at``."""
     return read_table(spark, f"{lake_dir}/rejected_files", REJECTED_FILES)

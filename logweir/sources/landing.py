@@ -13,6 +13,14 @@ from logweir.functions.time import naive_utc, positive
 
 MAX_RECORDS = 150
 
+# On a local disk, Hadoop keeps a checksum file beside every file and starts processes
+# to set the rights of both; the load takes a SHA-256 of its own. Other stores are not
+# touched by this.
+NO_CHECKSUM_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
 
 def land_events(
     events: DataFrame,
@@ -31,6 +39,7 @@ def land_events(
     stamped = events.select(add_ingested_at(F.col("value"), moment).alias("value"))
     (
         stamped.write.option("maxRecordsPerFile", positive("max_records", max_records))
+        .options(**NO_CHECKSUM_FILES)
         .mode("errorifexists")
         .text(folder)
     )

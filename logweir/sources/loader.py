@@ -24,7 +24,13 @@ from logweir.operators.loading import (
     without_files,
 )
 from logweir.operators.nested import create_views
-from logweir.plans.shared import MAX_BROADCAST_ROWS, stored, stored_and_counted, within_bound
+from logweir.plans.shared import (
+    MAX_BROADCAST_ROWS,
+    stored,
+    stored_and_counted,
+    stored_and_observed,
+    within_bound,
+)
 from logweir.sources import id_index, landed
 from logweir.sources.lake import (
     commit_files,
@@ -110,55 +116,84 @@ def load_events(
     return LoadResult(scanned, loaded, skipped, inserted, duration, lake_dir)
 
 
+@dataclass(frozen=True)
+class Staged:
+    """Parsed lines in a written table: all, those that are ok, the ends of their ids."""
+
+    rows: DataFrame
+    total: int
+    ok: int
+    low: str | None
+    high: str | None
+
+
+def staged(parsed: DataFrame) -> Staged:
+    """Write parsed lines, which fixes their places."""
+    rows, seen = stored_and_observed(
+        parsed,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("status") == "ok").alias("ok"),
+        F.min("event_id").alias("low"),
+        F.max("event_id").alias("high"),
+    )
+    return Staged(rows, seen["total"], seen["ok"], seen["low"], seen["high"])
+
+
 def load_batch(
     lines: DataFrame, files: list[Row], lake_dir: str, moment: datetime
 ) -> tuple[int, int]:
-    """Load and commit the lines of ``files``; return files and events added.
+    """Load and commit the lines of ``files``; return files and events added."""
+    return load_staged(staged(parse_lines(lines)), files, lake_dir, moment)
 
-    Lines are parsed once, into a table that fixes their places. What is decided about
-    them is decided on ids and places; whole lines are read again when they are written.
+
+def load_staged(
+    lines: Staged, files: list[Row], lake_dir: str, moment: datetime
+) -> tuple[int, int]:
+    """Load and commit lines that were parsed once; return files and events added.
+
+    What is decided about them is decided on ids and places; whole lines are read again
+    when they are written.
     """
-    spark = lines.sparkSession
+    spark = lines.rows.sparkSession
     batch_id = f"{moment:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:12]}"
     loaded_at = ntz(moment).alias("loaded_at")
     # Narrow rows, hashed once. A file that was not read must not be committed.
     described, found = stored_and_counted(fingerprints(spark, files))
     if found != len(files):
         raise RuntimeError("some files could not be read back under their names")
-    staged, total = stored_and_counted(parse_lines(lines))
-    ids = stored(id_table(staged))
-    copies, doubtful, low, high = ids.agg(
-        F.sum("copies"),
-        F.count_if(F.col("lost") | F.col("bad").isNotNull()),
-        F.min("event_id"),
-        F.max("event_id"),
-    ).first()
-    large = (copies or 0) > MAX_BROADCAST_ROWS
-    known = read_events(spark, lake_dir)
-    if low is not None:
+    large = lines.ok > MAX_BROADCAST_ROWS
+    known = (read_events if large else id_index.known_ids)(spark, lake_dir)
+    if lines.low is not None:
         # Only these can be repeated. Ids mostly grow with time, so Parquet
         # statistics spare a load of recent files most of the table.
-        known = known.filter(F.col("event_id").between(low, high))
-    good = ids.filter(F.col("good").isNotNull())
+        known = known.filter(F.col("event_id").between(lines.low, lines.high))
     refused = 0
-    if doubtful:
+    if lines.ok == lines.total:
+        first = lines.rows.groupBy("event_id").agg(F.min(F.struct(*PLACE)).alias("place"))
+    else:
+        ids = stored(id_table(lines.rows))
+        good = ids.filter(F.col("good").isNotNull())
         failed, refused = stored_and_counted(failures(ids, known))
         good = without_files(good, failed, refused)
         names = failed.withColumnRenamed("source_file", "file_path")
         described = described.join(names, "file_path", "left_anti")
         _reject(names, INVALID, lake_dir, moment)
-    first = good.groupBy("event_id").agg(F.min(F.struct("source_file", "good.*")).alias("place"))
+        first = good.groupBy("event_id").agg(
+            F.min(F.struct("source_file", "good.*")).alias("place")
+        )
     first = first.select("event_id", "place.*")
     if large:
         fresh = id_index.drop_indexed(spark, lake_dir, first)
     else:
-        fresh = drop_existing(first, known, copies or 0)
+        fresh = drop_existing(first, known, lines.ok)
     fresh, inserted = stored_and_counted(fresh)
-    rows = _at_places(staged, fresh, inserted, total).select("*", loaded_at)
+    rows = _at_places(lines.rows, fresh, inserted, lines.total).select("*", loaded_at)
     if write_events(rows, lake_dir, batch_id) != inserted:
         raise RuntimeError("the written events are not those that were chosen")
     if large:
         id_index.cover(spark, lake_dir, fresh, batch_id, moment)
+    else:
+        id_index.keep(fresh, lake_dir, batch_id)
     commit_files(
         described.select("*", loaded_at, F.lit(batch_id).alias("batch_id")), lake_dir
     )

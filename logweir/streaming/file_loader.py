@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.functions.jsonlines import is_blank
 from logweir.functions.time import naive_utc
-from logweir.plans.shared import escaped, stored, within_bound
-from logweir.sources.lake import read_manifest
-from logweir.sources.loader import load_batch, retry_rejected
+from logweir.operators.loading import parse_lines
+from logweir.plans.shared import bounded_listing, escaped, within_bound
+from logweir.schemas import LOADED_FILES
+from logweir.sources.lake import read_table
+from logweir.sources.loader import load_staged, retry_rejected, staged
 from logweir.sources.rawfiles import (
     LANDED_FOLDERS,
     LANDED_PATTERN,
@@ -50,8 +53,10 @@ def stream_load(
     wins, and by file name within a micro-batch. The folder's own files and those
     of landed subfolders are read, or with ``pattern`` only the folder's that match.
     A stream is offered a file once, so files refused before for their lines are
-    tried again when a stream starts.
+    tried again when a stream starts. Text is read once; the session's setting of the
+    tasks that list files is lowered.
     """
+    bounded_listing(spark)
     retry_rejected(spark, raw_dir, lake_dir)
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if pattern is None:
@@ -69,23 +74,33 @@ def stream_load(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        files = stored(batch.select("path", "source_file", "file_size").distinct())
-        # At most max_files_per_trigger rows.
+        session = batch.sparkSession
+        # Files with blank lines only are among the names too. At most
+        # max_files_per_trigger names come to the driver.
+        seen, names = Observation(), F.struct("path", "source_file", "file_size")
+        offered = batch.select("*", line_number()).observe(
+            seen, F.to_json(F.collect_set(names)).alias("files")
+        )
+        lines = staged(parse_lines(offered.filter(~is_blank(F.col("value")))))
+        files = json.loads(seen.get["files"])
+        columns = "path string, source_file string, file_size long"
+        files_read = session.createDataFrame(
+            [(f["path"], f["source_file"], f["file_size"]) for f in files], columns
+        )
+        manifest = read_table(session, f"{lake_dir}/loaded_files", LOADED_FILES)
         new = [
             Row(path=unquote(row.path), file_path=row.source_file, file_size=row.file_size)
-            for row in not_known(files, read_manifest(batch.sparkSession, lake_dir)).collect()
+            for row in not_known(files_read, manifest.select("file_path")).collect()
         ]
         if not new:
             return
-        names = batch.sparkSession.createDataFrame(
-            [(row.file_path,) for row in new], "source_file string"
-        )
-        placed = batch.select("*", line_number())
-        names = within_bound(names, len(new))
-        wanted = placed.join(names, "source_file", "left_semi")
-        load_batch(
-            wanted.filter(~is_blank(F.col("value"))), new, lake_dir, naive_utc()
-        )
+        if len(new) < len(files):
+            wanted = session.createDataFrame(
+                [(row.file_path,) for row in new], "source_file string"
+            )
+            wanted = within_bound(wanted, len(new))
+            lines = staged(lines.rows.join(wanted, "source_file", "left_semi"))
+        load_staged(lines, new, lake_dir, naive_utc())
 
     writer = lines.writeStream.foreachBatch(load).option(
         "checkpointLocation", checkpoint_dir

@@ -7,6 +7,9 @@ from test_parse import BROKEN, line
 
 from logweir import land_events, read_events, read_manifest, stream_load, stream_sessions
 from logweir.operators.sessions import session_totals
+from logweir.plans import shared
+from logweir.sources import id_index, loader
+from logweir.sources.lake import compact_events
 from logweir.streaming import file_loader
 from logweir.streaming.numbered import LATE, SESSION, _Numbered, write_numbered_sessions
 
@@ -302,3 +305,95 @@ def test_an_actor_takes_few_round_trips(spark):
     came = handle.timers.pop()
     assert closed(actor.handleExpiredTimer(("ann",), Mark(400 * 60_000), came)) == [(3, 300, 300, 1)]
     assert not handle.timers
+
+
+def test_a_micro_batch_reads_ids_and_not_the_events_before(spark, tmp_path, monkeypatch):
+    folder = Folder(spark, tmp_path)
+    folder.write("a.jsonl", line(id="e1"), line(id="e2", type="A"))
+    run(folder, tmp_path)
+    folder.write("b.jsonl", line(id="e2", type="B"), line(id="e3"))
+    folder.write("c.jsonl", line(id="e3", type="C"), line(id="e4"), BROKEN)
+
+    def refused(*_):
+        raise AssertionError("the events' files were listed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(id_index, "read_events", refused)
+        run(folder, tmp_path, max_files_per_trigger=1)
+    assert {(r.event_id, r.event_type) for r in folder.events().values()} == {
+        ("e1", "PushEvent"),
+        ("e2", "A"),
+        ("e3", "PushEvent"),
+    }
+    assert set(folder.manifest()) == {"a.jsonl", "b.jsonl"}
+
+
+def test_known_ids_of_every_kind_of_batch(spark, tmp_path, monkeypatch):
+    folder = Folder(spark, tmp_path)
+
+    def known():
+        return sorted(r.event_id for r in id_index.known_ids(spark, folder.lake).collect())
+
+    assert known() == []
+    with monkeypatch.context() as patch:
+        # A large load keeps no file of ids.
+        patch.setattr(loader, "MAX_BROADCAST_ROWS", 0)
+        folder.write("a.jsonl", line(id="large"))
+        folder.load()
+    assert known() == ["large"]
+    folder.write("b.jsonl", line(id="small"))
+    folder.load()
+    assert known() == ["large", "small"]
+
+    def crash(*_):
+        raise OSError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loader, "commit_files", crash)
+        folder.write("c.jsonl", line(id="never"))
+        try:
+            folder.load()
+        except OSError:
+            pass
+    assert known() == ["large", "small"]
+    assert compact_events(spark, folder.lake) == 2
+    assert set(known()) == {"large", "small"}
+    # What broke is loaded anew, and nothing twice.
+    folder.write("d.jsonl", line(id="small"), line(id="large"), line(id="new"))
+    run(folder, tmp_path)
+    assert sorted(folder.events()) == ["large", "never", "new", "small"]
+    assert read_events(spark, folder.lake).count() == 4
+
+
+def test_a_micro_batch_of_known_and_new_and_blank_files(spark, tmp_path):
+    folder = Folder(spark, tmp_path)
+    folder.write("a.jsonl", line(id="e1"))
+    folder.load()
+    # The stream is offered the known file as well; its lines must not count again.
+    folder.write("a.jsonl", line(id="e1"), line(id="changed"))
+    folder.write("b c.jsonl", line(id="e2"))
+    folder.write("blank.jsonl", "", "  ")
+    run(folder, tmp_path)
+    assert sorted(folder.events()) == ["e1", "e2"]
+    assert set(folder.manifest()) == {"a.jsonl", "b c.jsonl", "blank.jsonl"}
+
+
+def test_files_are_listed_by_few_tasks(spark, tmp_path):
+    folder = Folder(spark, tmp_path)
+    most, before = 4 * spark.sparkContext.defaultParallelism, spark.conf.get(shared.LISTING_TASKS)
+    try:
+        for given, kept in [("10000", str(most)), ("3", "3")]:
+            spark.conf.set(shared.LISTING_TASKS, given)
+            run(folder, tmp_path / given)
+            assert spark.conf.get(shared.LISTING_TASKS) == kept
+    finally:
+        spark.conf.set(shared.LISTING_TASKS, before)
+
+
+def test_landed_files_have_no_checksum_files(spark, tmp_path):
+    source = spark.createDataFrame([(line(id=f"e{i}"),) for i in range(5)], "value string")
+    folder = land_events(source.coalesce(1), str(tmp_path / "raw"), max_records=2)
+    found = [p.name for p in (tmp_path / "raw").glob("landed_*/*")]
+    assert len([name for name in found if name.startswith("part-")]) == 3
+    assert not [name for name in found if name.endswith(".crc")]
+    assert spark.read.text(folder).count() == 5
